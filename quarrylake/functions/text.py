@@ -54,8 +54,11 @@ def city_of_file(path: Column) -> Column:
     return empty_to_null(F.regexp_extract(path, RIDE_FILE, 1))
 
 
+def unescaped(text: Column) -> Column:
+    """Percent escapes undone; text that holds none, or broken ones, is left alone."""
+    return F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)
+
+
 def path_key(path: Column, key: str) -> Column:
-    """Value of the `key=value` folder in a file path, with URL escapes undone."""
-    raw = F.regexp_extract(path, rf"/{key}=([^/]+)", 1)
-    decoded = F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
-    return empty_to_null(F.coalesce(decoded, raw))
+    """Value of the `key=value` folder in a file path."""
+    return empty_to_null(unescaped(F.regexp_extract(path, rf"/{key}=([^/]+)", 1)))

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarrylake.functions.columns import quoted, unreadable
 from quarrylake.operators.lookup import FLAG, mark_members
 
 REASON = "_reject_reason"
+RAW = "_raw"
 
 # The reasons written to quarantine.
 ORPHAN_OPERATOR = "invalid_fk_operator"
@@ -42,7 +44,7 @@ def tag(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def part(tagged: DataFrame) -> Parted:
     """Every row lands on exactly one side."""
-    kept = tagged.where(F.col(REASON).isNull()).drop(REASON)
+    kept = tagged.where(F.col(REASON).isNull()).drop(REASON, RAW)
     return Parted(kept, tagged.where(F.col(REASON).isNotNull()))
 
 
@@ -54,6 +56,13 @@ def tag_orphans(
     return tag(marked, [Rule(reason, ~F.col(FLAG))]).drop(FLAG)
 
 
+def tag_unreadable(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """Tag the rows where a typed column's text does not fit; `_raw` keeps them as they came."""
+    bad = unreadable(df, types)
+    raw = F.when(bad, F.to_json(F.struct(*[quoted(c) for c in df.columns if c != REASON])))
+    return tag(df.withColumn(RAW, raw), [Rule(UNREADABLE, bad)])
+
+
 def describe_rejects(rejected: DataFrame, table: str, at: Column | None = None) -> DataFrame:
     """Add the reject time, the table's name and the day the quarantine is laid out by."""
     moment = F.current_timestamp() if at is None else at

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarrylake.functions.columns import flatten, quoted, sorted_columns, union_by_name, with_declared
-from quarrylake.functions.text import path_key
+from quarrylake.functions.text import path_key, unescaped
 from quarrylake.spec import Source
 
 FILE = "_source_file"
@@ -27,7 +27,7 @@ def _many(paths: Paths) -> list[str]:
 
 
 def _with_file(df: DataFrame) -> DataFrame:
-    return df.withColumn(FILE, F.col("_metadata.file_path"))
+    return df.withColumn(FILE, unescaped(F.col("_metadata.file_path")))
 
 
 def headers(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -35,7 +35,7 @@ def headers(spark: SparkSession, paths: Paths) -> DataFrame:
     lines = (
         spark.read.option("recursiveFileLookup", "true").text(_many(paths))
         .withColumns({
-            FILE: F.col("_metadata.file_path"),
+            FILE: unescaped(F.col("_metadata.file_path")),
             "_start": F.col("_metadata.file_block_start"),
             "_line": F.monotonically_increasing_id(),
         })

@@ -124,6 +124,15 @@ TYPES: dict[str, dict[str, str]] = {
     },
 }
 
+# Columns where text that does not fit is simply missing. In any
+# other typed column it is an error, and the row goes to quarantine.
+LENIENT: dict[str, tuple[str, ...]] = {
+    "plans": ("valid_from", "valid_to"),
+    "zones": ("valid_from", "valid_to"),
+    "rides": ("start_lat", "start_lon", "end_lat", "end_lon", "fare_amount", "duration_s"),
+    "payments": ("captured_at",),
+}
+
 # The columns whose change opens a new version.
 VEHICLE_HISTORY = History(
     entity="vehicle_id",
