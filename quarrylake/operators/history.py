@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from quarrylake.functions.columns import key_first
 from quarrylake.functions.keys import hashed
 from quarrylake.operators.dedupe import keep_one
-from quarrylake.operators.skew import HOT_ROWS, find_hot
+from quarrylake.operators.skew import HOT_ROWS, HotKeys, find_hot
 
 # The end of an open version, and the letters of a change log.
 OPEN_END = "9999-12-31 00:00:00"
@@ -145,14 +145,18 @@ def _versions_by_chunk(df: DataFrame, spec: History) -> DataFrame:
 
 
 def build_history(
-    df: DataFrame, spec: History, ties: Sequence[Column] | None = None, hot_rows: int = HOT_ROWS
+    df: DataFrame, spec: History, ties: Sequence[Column] | None = None, hot: HotKeys | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Versions with `[valid_from_ts, valid_to_ts)`, `is_current` and a hashed key in front.
 
     An entity must have one row per moment; pass `ties` to keep, of rows that
     share a moment, the first under that order. With an `op` column deletes
-    close a version but are not versions themselves.
+    close a version but are not versions themselves. Unless `hot` is given,
+    the entities of more than `hot_rows` rows are looked for in `df`.
     """
+    if hot is None:
+        hot = find_hot(df, [spec.entity], hot_rows)
     if ties is not None:
         df = keep_one(df, [spec.entity, spec.moment], *ties)
     columns = df.columns
@@ -163,7 +167,6 @@ def build_history(
         {"_key": F.struct(spec.entity), "valid_from_ts": F.col(spec.moment).cast("timestamp")}
     )
 
-    hot = find_hot(df, [spec.entity], hot_rows)
     if hot:
         is_hot = hot.holds([spec.entity])
         large = df.where(is_hot)

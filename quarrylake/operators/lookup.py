@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrylake.operators.skew import join_unique
+from quarrylake.operators.skew import HotKeys, join_unique
 
 FLAG = "_matched"
 
@@ -18,13 +18,13 @@ def _in_order(joined: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def mark_members(
     df: DataFrame, key: str, members: DataFrame, flag: str = FLAG, member_key: str | None = None,
-    hot_rows: int | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Add a True/False column telling whether `key` occurs among the members.
 
     Only the distinct, non-null member keys are joined, so rows never fan out
     and a null key is False. Catalyst broadcasts the members when their size
-    allows it. Pass `hot_rows` when both sides are large.
+    allows it. Pass the hot keys of `df` when both sides are large.
     """
     known = (
         members.select(F.col(member_key or key).alias(key))
@@ -32,19 +32,19 @@ def mark_members(
         .distinct()
         .withColumn(flag, F.lit(True))
     )
-    marked = join_unique(df, known, [key], hot_rows)
+    marked = join_unique(df, known, [key], hot)
     return _in_order(marked.withColumn(flag, F.coalesce(flag, F.lit(False))), [*df.columns, flag])
 
 
 def add_attributes(
-    df: DataFrame, key: str, reference: DataFrame, attributes: Sequence[str], hot_rows: int | None = None
+    df: DataFrame, key: str, reference: DataFrame, attributes: Sequence[str], hot: HotKeys | None = None
 ) -> DataFrame:
     """Left outer lookup of reference attributes; rows without a match get nulls.
 
     The reference must hold each key once.
     """
     wanted = reference.select(key, *attributes)
-    return _in_order(join_unique(df, wanted, [key], hot_rows), [*df.columns, *attributes])
+    return _in_order(join_unique(df, wanted, [key], hot), [*df.columns, *attributes])
 
 
 def keep_members(df: DataFrame, key: str, members: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quarrylake.functions.columns import quoted, unreadable
 from quarrylake.operators.lookup import FLAG, mark_members
+from quarrylake.operators.skew import HotKeys
 
 REASON = "_reject_reason"
 RAW = "_raw"
@@ -49,10 +50,10 @@ def part(tagged: DataFrame) -> Parted:
 
 
 def tag_orphans(
-    df: DataFrame, key: str, parents: DataFrame, reason: str, hot_rows: int | None = None
+    df: DataFrame, key: str, parents: DataFrame, reason: str, hot: HotKeys | None = None
 ) -> DataFrame:
     """Tag the rows whose foreign key, null included, has no parent."""
-    marked = mark_members(df, key, parents, FLAG, hot_rows=hot_rows)
+    marked = mark_members(df, key, parents, FLAG, hot=hot)
     return tag(marked, [Rule(reason, ~F.col(FLAG))]).drop(FLAG)
 
 

@@ -45,7 +45,8 @@ def find_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Ho
     """Keys with at least `hot_rows` rows, by a mergeable heavy-hitter sketch.
 
     Reads only the key columns and combines map-side, so nothing is shuffled
-    per row. The driver gets a list of bounded size.
+    per row. The driver gets a list of bounded size. This is a job of its own:
+    pass the stored table the keys come from, not a result with shuffles in it.
     """
     hashes = df.select(key_hash(keys).alias("h"))
     parts = hashes.groupBy(F.pmod("h", F.lit(PARTS)).alias("part")).agg(
@@ -59,16 +60,15 @@ def find_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Ho
 
 
 def join_unique(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], hot_rows: int | None = None
+    left: DataFrame, right: DataFrame, keys: Sequence[str], hot: HotKeys | None = None
 ) -> DataFrame:
     """Left outer join to a side that holds each key at most once.
 
-    With `hot_rows` the hot keys of the left side are looked for first. Their
-    rows are never shuffled: they meet the at most `len(hashes)` right rows
-    of those keys by broadcast, all other rows take the ordinary join.
+    Rows of hot keys are never shuffled: they meet the at most `len(hashes)`
+    right rows of those keys by broadcast, all other rows take the ordinary
+    join.
     """
     keys = list(keys)
-    hot = find_hot(left, keys, hot_rows) if hot_rows else None
     if not hot:
         return left.join(right, keys, "left")
     is_hot = hot.holds(keys)

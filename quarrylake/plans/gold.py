@@ -10,7 +10,7 @@ from quarrylake.operators.dimensions import (
     time_dimension, with_unknown_member,
 )
 from quarrylake.operators.history import build_history
-from quarrylake.operators.skew import HOT_ROWS
+from quarrylake.operators.skew import HOT_ROWS, HotKeys
 from quarrylake.spec import RIDE_CONTEXT, RIDER_HISTORY, VEHICLE_HISTORY, Reference
 
 
@@ -21,15 +21,15 @@ def reference(table: DataFrame, ref: Reference) -> DataFrame:
     return with_unknown_member(keyed(table, surrogate, *parts), surrogate)
 
 
-def vehicles(snapshots: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    history = build_history(snapshots, VEHICLE_HISTORY, hot_rows=hot_rows)
+def vehicles(snapshots: DataFrame, hot_rows: int = HOT_ROWS, hot: HotKeys | None = None) -> DataFrame:
+    history = build_history(snapshots, VEHICLE_HISTORY, hot=hot, hot_rows=hot_rows)
     return with_unknown_member(history, VEHICLE_HISTORY.surrogate)
 
 
-def riders(changes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def riders(changes: DataFrame, hot_rows: int = HOT_ROWS, hot: HotKeys | None = None) -> DataFrame:
     """Of changes at the same moment, a delete counts before an update, and that before an insert."""
     rank = F.when(F.col("op") == "D", 0).when(F.col("op") == "U", 1).otherwise(2)
-    history = build_history(changes, RIDER_HISTORY, ties=[rank], hot_rows=hot_rows)
+    history = build_history(changes, RIDER_HISTORY, ties=[rank], hot=hot, hot_rows=hot_rows)
     return with_unknown_member(history, RIDER_HISTORY.surrogate)
 
 

@@ -1,8 +1,8 @@
 """Typed, cleaned and deduplicated tables.
 
 Each function takes the raw text tables it needs and returns the kept and the
-rejected rows. Nothing here reads, writes or starts a job, except the hot-key
-probe of joins between two large tables.
+rejected rows. Nothing here reads or writes; the one job started is the probe
+for hot keys, over the raw key column, before a join of two large tables.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from quarrylake.operators.quality import (
     NO_TIMES, ORPHAN_OPERATOR, ORPHAN_RIDE, RAW, REASON, REVERSED_TIMES, UNKNOWN_COUNTRY,
     Parted, Rule, part, tag, tag_orphans, tag_unreadable,
 )
-from quarrylake.operators.skew import HOT_ROWS
+from quarrylake.operators.skew import HOT_ROWS, HotKeys, find_hot
 from quarrylake.spec import LENIENT, TYPES
 
 
@@ -54,17 +54,20 @@ def zones(raw: DataFrame) -> Parted:
     return part(typed(raw, "zones"))
 
 
-def redact_deleted(df: DataFrame, entity: str, op: str, keep: tuple[str, ...]) -> DataFrame:
+def redact_deleted(
+    df: DataFrame, entity: str, op: str, keep: tuple[str, ...], hot: HotKeys | None = None
+) -> DataFrame:
     """Blank every row of an entity that was ever deleted, but for the columns in `keep`."""
     gone = df.where(F.col(op) == "D").select(entity)
-    marked = mark_members(df, entity, gone, "_gone", hot_rows=HOT_ROWS)
+    marked = mark_members(df, entity, gone, "_gone", hot=hot)
     return blank_where(marked, F.col("_gone"), [*keep, "_gone"])
 
 
-def riders(raw: DataFrame, known_operators: DataFrame) -> Parted:
+def riders(raw: DataFrame, known_operators: DataFrame, hot_rows: int = HOT_ROWS) -> Parted:
     tagged = tag_orphans(raw, "operator_id", known_operators, ORPHAN_OPERATOR)
     clean = tag_country(typed(tagged, "riders_cdc"))
-    clean = redact_deleted(clean, "rider_id", "op", ("rider_id", "email", "op", "op_ts", REASON))
+    clean = redact_deleted(clean, "rider_id", "op", ("rider_id", "email", "op", "op_ts", REASON),
+                           find_hot(raw, ["rider_id"], hot_rows))
     clean = clean.withColumns(
         {
             "email": F.when(F.col("_gone"), text.REDACTED).otherwise(text.email_address(F.col("email"))),
@@ -125,6 +128,7 @@ def rides(raw: DataFrame, known_cities: DataFrame) -> Parted:
 
 def payments(raw: DataFrame, known_rides: DataFrame, hot_rows: int = HOT_ROWS) -> Parted:
     """One row per payment, in euros, for rides that exist."""
+    hot = find_hot(raw, ["external_ref"], hot_rows)
     clean = keep_one(typed(raw, "payments"), ["payment_id"])
     clean = clean.withColumnRenamed("external_ref", "ride_id").withColumn(
         "amount", amounts.from_minor_units(F.col("amount_minor"))
@@ -137,16 +141,19 @@ def payments(raw: DataFrame, known_rides: DataFrame, hot_rows: int = HOT_ROWS) -
             "is_successful": text.is_value(F.col("status"), "captured"),
         }
     )
-    kept, rejected = part(tag_orphans(clean, "ride_id", known_rides, ORPHAN_RIDE, hot_rows))
+    kept, rejected = part(tag_orphans(clean, "ride_id", known_rides, ORPHAN_RIDE, hot))
     return Parted(kept.drop("customer_country"), rejected)
 
 
-def telemetry(raw: DataFrame, known_vehicles: DataFrame, known_cities: DataFrame) -> Parted:
+def telemetry(
+    raw: DataFrame, known_vehicles: DataFrame, known_cities: DataFrame, hot_rows: int = HOT_ROWS
+) -> Parted:
     """One row per event, in UTC and on the 0-1 battery scale; unregistered vehicles are flagged."""
     clean = keep_one(typed(raw, "telemetry"), ["event_id"])
     zones_of = known_cities.select(F.col("city_id").alias("city"), "timezone")
     clean = add_attributes(clean, "city", zones_of, ["timezone"])
-    clean = mark_members(clean, "vehicle_id", known_vehicles, "is_registered_vehicle", hot_rows=HOT_ROWS)
+    clean = mark_members(clean, "vehicle_id", known_vehicles, "is_registered_vehicle",
+                         hot=find_hot(raw, ["vehicle_id"], hot_rows))
     written, zone = F.col("ts"), F.col("timezone")
     lat, lon = F.col("lat"), F.col("lon")
     clean = clean.withColumns(

@@ -13,7 +13,7 @@ from quarrylake.operators.dimensions import (
 )
 from quarrylake.operators.history import History, build_history
 from quarrylake.operators.lookup import add_attributes
-from quarrylake.operators.skew import HOT_ROWS
+from quarrylake.operators.skew import HOT_ROWS, find_hot
 from quarrylake.plans import gold
 from quarrylake.queries.registry import query, table, time_text
 from quarrylake.spec import Reference
@@ -73,8 +73,9 @@ def _daily_state_history(spark: SparkSession, sf_dir: str, hot_rows: int) -> Dat
     events = table(spark, sf_dir, "events").select(
         "user_id", F.col("ts").cast("date").alias("day"), "ts", "event_id", "event_type"
     )
+    hot = find_hot(events, ["user_id"], hot_rows)
     snapshots = keep_latest(events, ["user_id", "day"], "ts").select("user_id", "day", "event_type")
-    history = build_history(snapshots, SNAPSHOT, hot_rows=hot_rows).drop("day")
+    history = build_history(snapshots, SNAPSHOT, hot=hot, hot_rows=hot_rows).drop("day")
     return _times_as_text(with_unknown_member(history, SNAPSHOT.surrogate))
 
 
@@ -86,7 +87,7 @@ def scd2_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(SNAPSHOT_SQL)
 def scd2_snapshot_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same history where users of 25 days or more are cut along time."""
+    """The same history where users of 25 events or more are cut along time."""
     return _daily_state_history(spark, sf_dir, 25)
 
 

@@ -12,6 +12,7 @@ from quarrylake.operators.lookup import add_attributes, keep_members, keep_stran
 from quarrylake.operators.quality import (
     NO_TIMES, ORPHAN_OPERATOR, REASON, REVERSED_TIMES, Rule, describe_rejects, part, tag, tag_orphans,
 )
+from quarrylake.operators.skew import HOT_ROWS, find_hot
 from quarrylake.plans.silver import redact_deleted
 from quarrylake.queries.registry import query, table, time_text
 
@@ -276,9 +277,10 @@ FROM orders o
 """
 
 
-def _fk_split(spark: SparkSession, sf_dir: str, hot_rows: int | None) -> DataFrame:
+def _fk_split(spark: SparkSession, sf_dir: str, hot_rows: int) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    tagged = tag_orphans(orders, "o_custkey", _in_credit(spark, sf_dir), ORPHAN_OPERATOR, hot_rows)
+    hot = find_hot(orders, ["o_custkey"], hot_rows)
+    tagged = tag_orphans(orders, "o_custkey", _in_credit(spark, sf_dir), ORPHAN_OPERATOR, hot)
     kept, rejected = part(tagged)
     return kept.unionByName(rejected, allowMissingColumns=True)
 
@@ -286,7 +288,7 @@ def _fk_split(spark: SparkSession, sf_dir: str, hot_rows: int | None) -> DataFra
 @query(FK_SPLIT_SQL)
 def fk_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both sides of the foreign-key rule: together they are the whole table."""
-    return _fk_split(spark, sf_dir, None)
+    return _fk_split(spark, sf_dir, HOT_ROWS)
 
 
 @query(FK_SPLIT_SQL)
@@ -328,10 +330,11 @@ FROM events e
 """
 
 
-def _big_spenders(spark: SparkSession, sf_dir: str, hot_rows: int | None) -> DataFrame:
+def _big_spenders(spark: SparkSession, sf_dir: str, hot_rows: int) -> DataFrame:
     events = table(spark, sf_dir, "events")
     spenders = events.where("event_type = 'purchase' AND value > 50")
-    return mark_members(events, "user_id", spenders, "is_registered", hot_rows=hot_rows).select(
+    hot = find_hot(events, ["user_id"], hot_rows)
+    return mark_members(events, "user_id", spenders, "is_registered", hot=hot).select(
         "event_id", "user_id", "is_registered"
     )
 
@@ -339,7 +342,7 @@ def _big_spenders(spark: SparkSession, sf_dir: str, hot_rows: int | None) -> Dat
 @query(MEMBER_SQL)
 def membership_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether a row's key occurs in another table, without collecting that table."""
-    return _big_spenders(spark, sf_dir, None)
+    return _big_spenders(spark, sf_dir, HOT_ROWS)
 
 
 @query(MEMBER_SQL)
@@ -364,7 +367,8 @@ def redact_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority",
         F.when(deleted, "D").otherwise("U").alias("op"),
     )
-    return redact_deleted(orders, "o_custkey", "op", ("o_orderkey", "o_custkey")).drop("op")
+    hot = find_hot(table(spark, sf_dir, "orders"), ["o_custkey"])
+    return redact_deleted(orders, "o_custkey", "op", ("o_orderkey", "o_custkey"), hot).drop("op")
 
 
 @query("""
