@@ -40,9 +40,14 @@ def flatten(df: DataFrame, sep: str = "_") -> DataFrame:
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast the listed columns in place; text that does not fit becomes null."""
-    return df.select(
-        *[quoted(c).try_cast(types[c]).alias(c) if c in types else quoted(c) for c in df.columns]
-    )
+    texts = {c for c, kind in df.dtypes if kind == "string"}
+
+    def cast(c: str) -> Column:
+        # an empty text fits no type, and telling it apart is cheaper than a failing cast
+        filled = F.nullif(quoted(c), F.lit("")) if c in texts else quoted(c)
+        return filled.try_cast(types[c]).alias(c)
+
+    return df.select(*[cast(c) if c in types else quoted(c) for c in df.columns])
 
 
 def unreadable(df: DataFrame, types: Mapping[str, str]) -> Column:

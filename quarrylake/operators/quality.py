@@ -30,10 +30,20 @@ class Rule(NamedTuple):
 
 
 class Parted(NamedTuple):
-    """The good rows, and the rejected rows with their reason."""
+    """The good rows, and the rejected rows with their reason.
+
+    `tagged` holds both in one plan where the two sides differ by nothing but
+    the reason; a job that needs both should run that plan once.
+    """
 
     kept: DataFrame
     rejected: DataFrame
+    tagged: DataFrame | None = None
+
+    def both(self) -> DataFrame:
+        if self.tagged is not None:
+            return self.tagged
+        return self.kept.unionByName(self.rejected, allowMissingColumns=True)
 
 
 def tag(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -46,7 +56,7 @@ def tag(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 def part(tagged: DataFrame) -> Parted:
     """Every row lands on exactly one side."""
     kept = tagged.where(F.col(REASON).isNull()).drop(REASON, RAW)
-    return Parted(kept, tagged.where(F.col(REASON).isNotNull()))
+    return Parted(kept, tagged.where(F.col(REASON).isNotNull()), tagged)
 
 
 def tag_orphans(

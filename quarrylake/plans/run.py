@@ -7,13 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylake.operators.quality import Parted, describe_rejects
+from quarrylake.operators.quality import REASON, Parted, describe_rejects
 from quarrylake.plans import bronze, gold, silver
 from quarrylake.sources.tables import append_rejects, read_table, staged, write_table
 from quarrylake.spec import LAYOUT, Lake
 
-SIDE = "_is_reject"
-
 # Each cleaned table with the function that makes it and the cleaned tables it looks things up in.
 CLEANERS: dict[str, tuple[Callable[..., Parted], tuple[str, ...]]] = {
     "cities": (silver.cities, ()),
@@ -42,13 +40,10 @@ def store(parted: Parted, lake: Lake, table: str) -> None:
     Both sides are computed once, into a staging table of the shared scratch
     folder; the sinks then read their own side of it.
     """
-    sides = parted.kept.withColumn(SIDE, F.lit(False)).unionByName(
-        parted.rejected.withColumn(SIDE, F.lit(True)), allowMissingColumns=True
-    )
-    both = staged(sides, table)
-    kept = both.where(~F.col(SIDE)).select(*parted.kept.columns)
+    both = staged(parted.both(), table)
+    kept = both.where(F.col(REASON).isNull()).select(*parted.kept.columns)
     write_table(kept, lake.silver(table), LAYOUT.get(table, ()))
-    rejected = both.where(SIDE).select(*parted.rejected.columns)
+    rejected = both.where(F.col(REASON).isNotNull()).select(*parted.rejected.columns)
     append_rejects(describe_rejects(rejected, table), lake.quarantine(table))
 
 

@@ -1,7 +1,8 @@
 """Typed, cleaned and deduplicated tables.
 
 Each function takes the raw text tables it needs and returns the kept and the
-rejected rows. Nothing here reads or writes; the one job started is the probe
+rejected rows. Duplicates go first, on the raw text, so that the parsing is done
+once per row that stays. Nothing here reads or writes; the one job started is the probe
 for hot keys, over the raw key column, before a join of two large tables.
 """
 
@@ -74,18 +75,18 @@ def riders(raw: DataFrame, known_operators: DataFrame, hot_rows: int = HOT_ROWS)
             "is_active": text.is_value(F.col("account_status"), "active"),
         }
     ).drop("_gone")
-    kept, rejected = part(clean)
+    kept, rejected, _ = part(clean)
     return Parted(distinct_records(kept, ignore=(*PROVENANCE, "dt")), rejected)
 
 
 def vehicles(raw: DataFrame, known_operators: DataFrame) -> Parted:
     tagged = tag_orphans(raw, "operator_id", known_operators, ORPHAN_OPERATOR)
-    kept, rejected = part(typed(tagged, "vehicles"))
+    kept, rejected, _ = part(typed(tagged, "vehicles"))
     return Parted(keep_one(kept, ["vehicle_id", "snapshot_date"]), rejected)
 
 
 def maintenance(raw: DataFrame) -> Parted:
-    clean = keep_one(typed(raw, "maintenance"), ["id"]).withColumnRenamed("vehicle_ref", "vehicle_id")
+    clean = typed(keep_one(raw, ["id"]), "maintenance").withColumnRenamed("vehicle_ref", "vehicle_id")
     return part(
         clean.withColumns(
             {
@@ -108,10 +109,11 @@ def rides(raw: DataFrame, known_cities: DataFrame) -> Parted:
             "city_id": text.city_of_file(F.col("_source_file")),
         }
     )
-    moments = ("start_ts", "end_ts", "updated_at")
-    clean = add_attributes(typed(raw, "rides"), "city_id", known_cities, ["timezone"])
-    clean = clean.withColumns({c: times.instant(F.col(c), F.col("timezone")) for c in moments})
-    clean = keep_latest(clean, ["ride_id"], "updated_at")
+    zone = F.col("timezone")
+    zoned = add_attributes(raw, "city_id", known_cities, ["timezone"])
+    zoned = zoned.withColumn("updated_at", times.instant(F.col("updated_at"), zone))
+    clean = typed(keep_latest(zoned, ["ride_id"], "updated_at"), "rides")
+    clean = clean.withColumns({c: times.instant(F.col(c), zone) for c in ("start_ts", "end_ts")})
     start, end = F.col("start_ts"), F.col("end_ts")
     clean = clean.withColumns(
         {
@@ -129,7 +131,7 @@ def rides(raw: DataFrame, known_cities: DataFrame) -> Parted:
 def payments(raw: DataFrame, known_rides: DataFrame, hot_rows: int = HOT_ROWS) -> Parted:
     """One row per payment, in euros, for rides that exist."""
     hot = find_hot(raw, ["external_ref"], hot_rows)
-    clean = keep_one(typed(raw, "payments"), ["payment_id"])
+    clean = typed(keep_one(raw, ["payment_id"]), "payments")
     clean = clean.withColumnRenamed("external_ref", "ride_id").withColumn(
         "amount", amounts.from_minor_units(F.col("amount_minor"))
     )
@@ -141,15 +143,15 @@ def payments(raw: DataFrame, known_rides: DataFrame, hot_rows: int = HOT_ROWS) -
             "is_successful": text.is_value(F.col("status"), "captured"),
         }
     )
-    kept, rejected = part(tag_orphans(clean, "ride_id", known_rides, ORPHAN_RIDE, hot))
-    return Parted(kept.drop("customer_country"), rejected)
+    parted = part(tag_orphans(clean, "ride_id", known_rides, ORPHAN_RIDE, hot))
+    return parted._replace(kept=parted.kept.drop("customer_country"))
 
 
 def telemetry(
     raw: DataFrame, known_vehicles: DataFrame, known_cities: DataFrame, hot_rows: int = HOT_ROWS
 ) -> Parted:
     """One row per event, in UTC and on the 0-1 battery scale; unregistered vehicles are flagged."""
-    clean = keep_one(typed(raw, "telemetry"), ["event_id"])
+    clean = typed(keep_one(raw, ["event_id"]), "telemetry")
     zones_of = known_cities.select(F.col("city_id").alias("city"), "timezone")
     clean = add_attributes(clean, "city", zones_of, ["timezone"])
     clean = mark_members(clean, "vehicle_id", known_vehicles, "is_registered_vehicle",

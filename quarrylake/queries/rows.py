@@ -281,7 +281,7 @@ def _fk_split(spark: SparkSession, sf_dir: str, hot_rows: int) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     hot = find_hot(orders, ["o_custkey"], hot_rows)
     tagged = tag_orphans(orders, "o_custkey", _in_credit(spark, sf_dir), ORPHAN_OPERATOR, hot)
-    kept, rejected = part(tagged)
+    kept, rejected, _ = part(tagged)
     return kept.unionByName(rejected, allowMissingColumns=True)
 
 
@@ -316,7 +316,7 @@ def validity_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     start, end = F.col("start_ts"), F.col("end_ts")
     rules = [Rule(NO_TIMES, start.isNull() & end.isNull()), Rule(REVERSED_TIMES, start > end)]
-    kept, rejected = part(tag(events, rules))
+    kept, rejected, _ = part(tag(events, rules))
     described = describe_rejects(rejected, "events", F.lit("2026-04-02 08:00:00").cast("timestamp"))
     described = described.withColumn("reject_date", F.col("reject_date").cast("string"))
     both = kept.unionByName(described, allowMissingColumns=True)

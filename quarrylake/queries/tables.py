@@ -102,9 +102,9 @@ SELECT 'R-' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING)
             WHEN l_tax > 0.06 THEN '1994-01-01T00:00:00Z' ELSE {SHIP_DAY} || 'T18:00:00+02:00' END AS end_ts,
        {SHIP_DAY} || 'T23:00:00Z' AS updated_at,
        CASE WHEN l_linestatus = 'O' THEN '0.35km' ELSE '-' || CAST(l_extendedprice AS STRING) END AS distance_m,
-       CASE WHEN l_returnflag = 'A' THEN 'x' ELSE CAST(CAST(l_quantity AS INT) AS STRING) END AS duration_s,
+       CASE WHEN l_returnflag = 'A' THEN '' ELSE CAST(CAST(l_quantity AS INT) AS STRING) END AS duration_s,
        CAST(l_extendedprice AS STRING) AS fare_amount, CASE WHEN l_linestatus = 'O' THEN 'SEK' ELSE 'EUR' END AS currency,
-       '1.5' AS start_lat, '2.5' AS start_lon, 'west' AS end_lat, '' AS end_lon,
+       '1.5' AS start_lat, '2.5' AS start_lon, CASE WHEN l_linenumber = 7 THEN 'west' ELSE '3.5' END AS end_lat, CASE WHEN l_linenumber < 7 THEN '4.5' ELSE '' END AS end_lon,
        CASE WHEN l_tax = 0 AND l_discount = 0 THEN 'perhaps' WHEN l_tax < 0.02 THEN 'true' ELSE 'false' END AS is_test,
        CASE WHEN l_discount > 0.05 THEN 'SPRING' ELSE '' END AS promo_code,
        l_returnflag AS unlock_channel, l_linestatus AS end_reason, CAST(l_suppkey AS STRING) AS rider_id
@@ -158,7 +158,7 @@ def raw_sql(name: str) -> str:
 
 def both_sides(parted: Parted, *columns: str) -> DataFrame:
     """Kept and rejected rows in one frame, with times, dates and decimals as plain values."""
-    df = parted.kept.unionByName(parted.rejected, allowMissingColumns=True).select(*columns, REASON)
+    df = parted.both().select(*columns, REASON)
     kinds = dict(df.dtypes)
     return df.select(*[_plain(c, kinds[c]) for c in df.columns])
 
@@ -357,18 +357,18 @@ raw AS (
   FROM {raw_sql('rides')}),
 zoned AS (SELECT raw.*, p.timezone FROM raw LEFT JOIN places p USING (city_id)),
 timed AS (
-  SELECT * REPLACE (
-    CASE WHEN regexp_matches(start_ts, '^[0-9]+$') THEN make_timestamp(CAST(start_ts AS BIGINT) * 1000)
-         WHEN start_ts LIKE '__/__/%' OR start_ts LIKE '%12:30:00' THEN {zoned_sql("CAST(day || ' 12:30:00' AS TIMESTAMP)")} END AS start_ts,
-    CASE WHEN end_ts LIKE '%Z' THEN TIMESTAMP '1994-01-01' WHEN end_ts <> '' THEN CAST(day || ' 16:00:00' AS TIMESTAMP) END AS end_ts,
-    CAST(day || ' 23:00:00' AS TIMESTAMP) AS updated_at)
-  FROM zoned),
+  SELECT * REPLACE (CAST(day || ' 23:00:00' AS TIMESTAMP) AS updated_at) FROM zoned),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY ride_id ORDER BY updated_at DESC NULLS LAST, _source_file,
-      start_ts NULLS FIRST, end_ts NULLS FIRST, distance_m, seconds NULLS FIRST, fare, currency,
-      TRY_CAST(is_test AS BOOLEAN) NULLS FIRST, CASE WHEN promo_code <> '' THEN promo_code END NULLS FIRST,
-      unlock_channel, end_reason, rider_id) AS r
+      start_ts, end_ts, distance_m, duration_s, fare_amount, currency, end_lat, is_test,
+      CASE WHEN promo_code <> '' THEN promo_code END NULLS FIRST, unlock_channel, end_reason, rider_id) AS r
   FROM timed),
+parsed AS (
+  SELECT * REPLACE (
+    CASE WHEN regexp_matches(start_ts, '^[0-9]+$') THEN make_timestamp(CAST(start_ts AS BIGINT) * 1000)
+         WHEN start_ts LIKE '__/__/%' OR start_ts LIKE '%12:30:00' THEN {zoned_sql("CAST(day || ' 12:30:00' AS TIMESTAMP)")} END AS start_ts,
+    CASE WHEN end_ts LIKE '%Z' THEN TIMESTAMP '1994-01-01' WHEN end_ts <> '' THEN CAST(day || ' 16:00:00' AS TIMESTAMP) END AS end_ts)
+  FROM ranked WHERE r = 1),
 clean AS (
   SELECT ride_id, city_id, timezone, start_ts, end_ts, updated_at,
          CASE WHEN distance_m LIKE '%km' THEN 350.0 ELSE abs(CAST(distance_m AS DOUBLE)) END AS distance_m,
@@ -380,7 +380,7 @@ clean AS (
          CASE WHEN reason IS NOT NULL THEN reason
               WHEN start_ts IS NULL AND end_ts IS NULL THEN 'Missing Start_ts and End_ts'
               WHEN start_ts > end_ts THEN 'Impossible End and Start Timestamps' END AS _reject_reason
-  FROM ranked WHERE r = 1)"""
+  FROM parsed)"""
 
 
 def _rides(spark: SparkSession, sf_dir: str) -> Parted:
@@ -407,8 +407,7 @@ WITH raw AS {raw_sql('payments')},
 known AS (SELECT DISTINCT 'R-' || l_orderkey || '-' || l_linenumber AS ride_id FROM lineitem WHERE l_returnflag <> 'N'),
 ranked AS (
   SELECT *, TRY_CAST(amount_minor AS BIGINT) AS minor, row_number() OVER (PARTITION BY payment_id
-      ORDER BY _source_file, external_ref, TRY_CAST(amount_minor AS BIGINT) NULLS FIRST, currency,
-               CASE WHEN captured_at <> 'bad' THEN captured_at END NULLS FIRST, type NULLS FIRST, status,
+      ORDER BY _source_file, external_ref, amount_minor, currency, captured_at, type NULLS FIRST, status,
                method NULLS FIRST) AS r
   FROM raw),
 clean AS (

@@ -9,13 +9,16 @@ from pyspark.sql import SparkSession
 
 # Settings the jobs rely on: wall clocks are read and written in UTC, a
 # partitioned overwrite replaces only the partitions it holds, and AQE sizes
-# shuffle partitions and splits skewed ones at run time.
+# shuffle partitions and splits skewed ones at run time. Wide cleaning projections
+# compile to methods the JVM will not optimise above 8000 bytes of code, so such
+# stages are generated in smaller pieces.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
