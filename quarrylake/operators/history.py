@@ -16,7 +16,6 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarrylake.functions.columns import key_first
 from quarrylake.functions.keys import hashed
 from quarrylake.operators.dedupe import keep_one
 from quarrylake.operators.skew import HOT_ROWS, HotKeys, find_hot
@@ -69,26 +68,13 @@ def cut_along_time(df: DataFrame, moment: str, chunks: int) -> DataFrame:
     return cutter.transform(timed).drop("_at")
 
 
-def _without_ghost_updates(df: DataFrame, spec: History, chunked: bool) -> DataFrame:
-    """Drop updates that come after a delete: only an insert brings an entity back."""
-    where = ["_key", "_chunk"] if chunked else ["_key"]
-    so_far = Window.partitionBy(*where).orderBy(spec.moment).rowsBetween(Window.unboundedPreceding, 0)
-    turn = F.when(F.col(spec.op).isin(INSERT, DELETE), F.col(spec.op))
-    df = df.withColumn("_turn", turn)
-    last_turn = F.last("_turn", ignorenulls=True).over(so_far)
-    if chunked:
-        ends = df.groupBy("_key", "_chunk").agg(
-            F.max_by("_turn", F.when(F.col("_turn").isNotNull(), F.struct(spec.moment))).alias("_end_turn")
-        )
-        before = Window.partitionBy("_key").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-        brought = ends.select(
-            "_key", "_chunk", F.last("_end_turn", ignorenulls=True).over(before).alias("_brought")
-        )
-        df = df.join(brought, ["_key", "_chunk"])
-        last_turn = F.coalesce(last_turn, F.col("_brought"))
-    df = df.withColumn("_last_turn", last_turn)
-    ghost = (F.col(spec.op) == UPDATE) & (F.col("_last_turn") == DELETE)
-    return df.where(~F.coalesce(ghost, F.lit(False))).drop("_turn", "_last_turn", "_brought")
+def _ghost(op: str, last_turn: Column) -> Column:
+    """An update that comes after a delete: only an insert brings an entity back."""
+    return F.coalesce((F.col(op) == UPDATE) & (last_turn == DELETE), F.lit(False))
+
+
+def _turn(op: str) -> Column:
+    return F.when(F.col(op).isin(INSERT, DELETE), F.col(op))
 
 
 def _state(spec: History) -> Column:
@@ -100,21 +86,49 @@ def _state(spec: History) -> Column:
     return F.struct(alive.alias("alive"), F.when(alive, live).alias("live"))
 
 
+def _start(spec: History) -> Column:
+    return F.col(spec.moment).cast("timestamp")
+
+
 def _versions(df: DataFrame, spec: History) -> DataFrame:
+    """Versions of entities that fit one task.
+
+    The rows are repartitioned first and widened after, so that the shuffle
+    carries the table's own columns only; both windows reuse it.
+    """
+    w = Window.partitionBy(spec.entity).orderBy(spec.moment)
+    rows = df.repartition(F.col(spec.entity))
     if spec.op is not None:
-        df = _without_ghost_updates(df, spec, chunked=False)
-    w = Window.partitionBy("_key").orderBy(spec.moment)
-    opened = df.withColumn("_state", _state(spec)).withColumn("_before", F.lag("_state").over(w))
-    opened = opened.where(~F.col("_state").eqNullSafe(F.col("_before")))
-    ends = F.lead("valid_from_ts").over(w)
-    return opened.withColumn("valid_to_ts", F.coalesce(ends, open_end())).drop("_before")
+        so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+        rows = rows.withColumn("_turn", F.last(_turn(spec.op), ignorenulls=True).over(so_far))
+        rows = rows.where(~_ghost(spec.op, F.col("_turn"))).drop("_turn")
+    opened = rows.withColumn("_state", _state(spec)).withColumn("_before", F.lag("_state").over(w))
+    opened = opened.where(~F.col("_state").eqNullSafe(F.col("_before"))).drop("_before")
+    opened = opened.withColumn("valid_from_ts", _start(spec))
+    return opened.withColumn("valid_to_ts", F.coalesce(F.lead("valid_from_ts").over(w), open_end()))
+
+
+def _chunked_without_ghosts(rows: DataFrame, spec: History) -> DataFrame:
+    """Drop ghost updates where the deciding insert or delete may lie in an earlier chunk."""
+    so_far = Window.partitionBy("_key", "_chunk").orderBy(spec.moment).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_turn", _turn(spec.op))
+    turned_at = F.when(F.col("_turn").isNotNull(), F.struct(spec.moment))
+    ends = rows.groupBy("_key", "_chunk").agg(F.max_by("_turn", turned_at).alias("_end_turn"))
+    before = Window.partitionBy("_key").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    brought = F.last("_end_turn", ignorenulls=True).over(before).alias("_brought")
+    rows = rows.join(ends.select("_key", "_chunk", brought), ["_key", "_chunk"])
+    last_turn = F.coalesce(F.last("_turn", ignorenulls=True).over(so_far), F.col("_brought"))
+    rows = rows.withColumn("_last_turn", last_turn)
+    return rows.where(~_ghost(spec.op, F.col("_last_turn"))).drop("_turn", "_last_turn", "_brought")
 
 
 def _versions_by_chunk(df: DataFrame, spec: History) -> DataFrame:
-    if spec.op is not None:
-        df = _without_ghost_updates(df, spec, chunked=True)
+    """Versions of entities cut along time; the result is that of `_versions`."""
     w = Window.partitionBy("_key", "_chunk").orderBy(spec.moment)
-    rows = df.withColumn("_state", _state(spec)).withColumns(
+    rows = df.withColumn("_key", F.struct(spec.entity)).repartition("_key", "_chunk")
+    if spec.op is not None:
+        rows = _chunked_without_ghosts(rows, spec)
+    rows = rows.withColumns({"_state": _state(spec), "valid_from_ts": _start(spec)}).withColumns(
         {"_before": F.lag("_state").over(w), "_head": F.row_number().over(w) == 1}
     )
     inner_change = ~F.col("_head") & ~F.col("_state").eqNullSafe(F.col("_before"))
@@ -141,7 +155,7 @@ def _versions_by_chunk(df: DataFrame, spec: History) -> DataFrame:
     )
     ends = F.coalesce(F.lead("valid_from_ts").over(w), F.col("_next_at"), open_end())
     opened = opened.withColumn("valid_to_ts", ends)
-    return opened.drop("_chunk", "_head", "_changed", "_head_opens", "_next_at")
+    return opened.drop("_key", "_chunk", "_head", "_changed", "_head_opens", "_next_at")
 
 
 def build_history(
@@ -160,31 +174,23 @@ def build_history(
     if ties is not None:
         df = keep_one(df, [spec.entity, spec.moment], *ties)
     columns = df.columns
-    if spec.state_hash:
-        df = df.withColumn(spec.state_hash, hashed(*[F.col(c) for c in spec.tracked]))
-        columns = [*columns, spec.state_hash]
-    df = df.withColumns(
-        {"_key": F.struct(spec.entity), "valid_from_ts": F.col(spec.moment).cast("timestamp")}
-    )
-
     if hot:
         is_hot = hot.holds([spec.entity])
-        large = df.where(is_hot)
         chunks = min(MAX_CHUNKS, max(2, -(-hot.rows // hot_rows)))
-        versions = _versions(df.where(~is_hot), spec).unionByName(
-            _versions_by_chunk(cut_along_time(large, spec.moment, chunks), spec)
-        )
+        large = cut_along_time(df.where(is_hot), spec.moment, chunks)
+        versions = _versions(df.where(~is_hot), spec).unionByName(_versions_by_chunk(large, spec))
     else:
         versions = _versions(df, spec)
 
     if spec.op is not None:
         versions = versions.where(F.col("_state.alive"))
+    if spec.state_hash:
+        versions = versions.withColumn(spec.state_hash, hashed(*[F.col(c) for c in spec.tracked]))
+        columns = [*columns, spec.state_hash]
     versions = versions.withColumns(
         {
             "is_current": F.col("valid_to_ts") == open_end(),
             spec.surrogate: hashed(F.col(spec.entity), F.col("valid_from_ts")),
         }
     )
-    return key_first(
-        versions.select(*columns, "valid_from_ts", "valid_to_ts", "is_current", spec.surrogate), spec.surrogate
-    )
+    return versions.select(spec.surrogate, *columns, "valid_from_ts", "valid_to_ts", "is_current")
