@@ -6,19 +6,22 @@ import uuid
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from quarrylake.functions.columns import sorted_columns
 from quarrylake.sources.files import list_files, pending, read_ledger, record, require
 from quarrylake.sources.readers import read_csv, read_source
 from quarrylake.sources.tables import read_table, stamp, write_table
 from quarrylake.spec import Lake, Source
-from quarrylake.functions.columns import sorted_columns
 
 # The file name ending of each format.
 ENDINGS = {"csv": "*.csv", "ndjson": "*.json", "document": "*.json", "xml": "*.xml"}
 
 
+FILES_PER_BATCH = 100_000
+
+
 def _now() -> str:
     return datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
 
@@ -29,30 +32,34 @@ def ingest(rows: DataFrame, source: Source, bronze: str, batch: str, moment: str
     write_table(stamped, f"{bronze}/batch={batch}", source.keys)
 
 
-def load_new(spark: SparkSession, lake: Lake, name: str) -> int:
-    """Load the files of a source that the ledger does not name; returns their number.
+def load_new(spark: SparkSession, lake: Lake, name: str, files_per_batch: int = FILES_PER_BATCH) -> int:
+    """Load all files of a source that the ledger does not name; returns their number.
 
-    Data is written first and the ledger second. Bronze is only read through
-    the ledger's batches, so a run that dies in between leaves no trace and
-    the next run loads its files again.
+    Files are taken oldest first, in batches, so that the driver never holds
+    more than a batch of file names. Per batch the data is written first and
+    the ledger second. Bronze is only read through the ledger's batches, so a
+    run that dies in between leaves no trace and the next one loads its files.
     """
-    source = lake.sources[name]
+    loaded = 0
+    while entries := _next_files(spark, lake, name, files_per_batch):
+        source, batch = lake.sources[name], uuid.uuid4().hex
+        rows = read_source(spark, sorted(e["path"] for e in entries), source)
+        ingest(rows, source, lake.bronze(name), batch, _now())
+        taken = spark.createDataFrame(entries, "path string, length bigint, modified timestamp")
+        record(taken, lake.ledger(name), batch)
+        loaded += len(entries)
+    return loaded
+
+
+def _next_files(spark: SparkSession, lake: Lake, name: str, most: int) -> list[Row]:
     try:
-        found = list_files(spark, lake.landing(name), ENDINGS[source.format])
+        found = list_files(spark, lake.landing(name), ENDINGS[lake.sources[name].format])
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return 0
-    # file names only: the reader takes them as its list of paths
-    entries = pending(found, read_ledger(spark, lake.ledger(name))).collect()
-    if not entries:
-        return 0
-    batch = uuid.uuid4().hex
-    rows = read_source(spark, sorted(e["path"] for e in entries), source)
-    ingest(rows, source, lake.bronze(name), batch, _now())
-    record(spark.createDataFrame(entries, "path string, length bigint, modified timestamp"),
-           lake.ledger(name), batch)
-    return len(entries)
+        return []
+    waiting = pending(found, read_ledger(spark, lake.ledger(name)))
+    return waiting.orderBy("modified", "path").limit(most).collect()
 
 
 def read_bronze(spark: SparkSession, lake: Lake, name: str) -> DataFrame | None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -39,6 +40,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="quarrylake-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder named by `spark.checkpoint.dir`.
 
@@ -49,6 +55,5 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="quarrylake-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_folder()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

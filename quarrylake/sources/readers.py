@@ -31,17 +31,24 @@ def _with_file(df: DataFrame) -> DataFrame:
 
 
 def headers(spark: SparkSession, paths: Paths) -> DataFrame:
-    """The first line of each file. One row per file leaves the scan."""
-    lines = (
-        spark.read.option("recursiveFileLookup", "true").text(_many(paths))
-        .withColumns({
-            FILE: unescaped(F.col("_metadata.file_path")),
-            "_start": F.col("_metadata.file_block_start"),
-            "_line": F.monotonically_increasing_id(),
-        })
-        .where("_start = 0")
+    """The first line of each file, and whether quoted fields of it run over line ends.
+
+    A line that closes all its quotes holds an even number of them. One row
+    per file leaves the scan.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = spark.read.option("recursiveFileLookup", "true").text(_many(paths)).select(
+        "value",
+        unescaped(F.col("_metadata.file_path")).alias(FILE),
+        F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("_line"),
+        (quotes % 2 == 1).alias("_open"),
     )
-    return lines.groupBy(FILE).agg(F.min_by("value", "_line").alias("header"))
+    return lines.groupBy(FILE).agg(F.min_by("value", "_line").alias("header"), F.max("_open").alias("runs_over"))
+
+
+def _scan_csv(spark: SparkSession, paths: list[str], runs_over: bool) -> DataFrame:
+    options = {"header": "true", "escape": '"', "encoding": "UTF-8", "recursiveFileLookup": "true"}
+    return _with_file(spark.read.options(**options, multiLine=runs_over).csv(paths))
 
 
 def read_csv(spark: SparkSession, paths: Paths, same_header: bool = False) -> DataFrame:
@@ -49,18 +56,17 @@ def read_csv(spark: SparkSession, paths: Paths, same_header: bool = False) -> Da
 
     Files may differ in their columns and in the order of them. The headers
     are gathered first; files with equal headers are read together by the CSV
-    source and the groups are united by name. `same_header` skips that pass.
+    source and the groups are united by name. Files stay splittable unless a
+    quoted field runs over a line end. `same_header` vouches that all files
+    are alike and have no such field, and skips that pass.
     """
-    def scan(some: list[str]) -> DataFrame:
-        reader = spark.read.option("header", "true").option("recursiveFileLookup", "true")
-        return _with_file(reader.option("encoding", "UTF-8").csv(some))
-
     if same_header:
-        return scan(_many(paths))
-    groups = headers(spark, paths).groupBy("header").agg(F.collect_list(FILE).alias("files")).collect()
+        return _scan_csv(spark, _many(paths), False)
+    groups = headers(spark, paths).groupBy("header", "runs_over").agg(F.collect_list(FILE).alias("files")).collect()
     if len(groups) == 1:
-        return scan(_many(paths))
-    return union_by_name(*[scan(g["files"]) for g in sorted(groups, key=lambda g: g["header"])])
+        return _scan_csv(spark, _many(paths), groups[0]["runs_over"])
+    ordered = sorted(groups, key=lambda g: (g["header"], g["runs_over"]))
+    return union_by_name(*[_scan_csv(spark, g["files"], g["runs_over"]) for g in ordered])
 
 
 def read_ndjson(spark: SparkSession, paths: Paths) -> DataFrame:

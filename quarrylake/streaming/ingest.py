@@ -14,7 +14,7 @@ from quarrylake.sources.readers import FILE
 from quarrylake.sources.tables import stamp
 from quarrylake.spec import Lake, Source
 
-FORMATS = {"csv": ("csv", {"header": "true", "enforceSchema": "false"}), "ndjson": ("json", {})}
+FORMATS = {"csv": ("csv", {"header": "true", "escape": '"', "enforceSchema": "false"}), "ndjson": ("json", {})}
 
 
 def ingest_available(
