@@ -172,9 +172,10 @@ def fraction_harmonise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT event_id, CASE WHEN event_type = 'error' AND value < 10 THEN NULL WHEN event_type = 'error' THEN 0 ELSE value END AS lat,
-       CASE WHEN event_type = 'error' AND value < 10 THEN NULL WHEN value < 10 THEN 0 ELSE value END AS lon
-FROM events
+SELECT event_id, CASE WHEN NOT (lat = 0 AND lon = 0) THEN lat END AS lat,
+       CASE WHEN NOT (lat = 0 AND lon = 0) THEN lon END AS lon
+FROM (SELECT event_id, CASE WHEN event_type = 'error' THEN 0 ELSE value END AS lat,
+             CASE WHEN value < 10 THEN 0 ELSE value END AS lon FROM events)
 """)
 def null_island(spark: SparkSession, sf_dir: str) -> DataFrame:
     lat, lon = F.col("lat"), F.col("lon")
