@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key below this many rows fits one task; it is never split.
-HOT_ROWS = 20_000_000
+HOT_ROWS = 5_000_000
 # At most one hot key per this share of the table, so the list stays short.
 MAX_HOT = 4096
 # The sketch is kept in this many parts, so that no single task merges it all.
@@ -47,7 +47,11 @@ def find_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Ho
     Reads only the key columns and combines map-side, so nothing is shuffled
     per row. The driver gets a list of bounded size. This is a job of its own:
     pass the stored table the keys come from, not a result with shuffles in it.
+    A table of fewer rows than a hot key needs is only counted, which Parquet
+    answers from its footers.
     """
+    if df.count() < hot_rows:
+        return HotKeys((), 0)
     hashes = df.select(key_hash(keys).alias("h"))
     parts = hashes.groupBy(F.pmod("h", F.lit(PARTS)).alias("part")).agg(
         F.count(F.lit(1)).alias("rows"),

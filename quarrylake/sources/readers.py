@@ -56,7 +56,9 @@ def read_csv(spark: SparkSession, paths: Paths, same_header: bool = False) -> Da
 
     Files may differ in their columns and in the order of them. The headers
     are gathered first; files with equal headers are read together by the CSV
-    source and the groups are united by name. Files stay splittable unless a
+    source and the groups are united by name. Where headers differ the driver
+    holds the file names, so very many files are best passed in batches, as
+    the bronze load does. Files stay splittable unless a
     quoted field runs over a line end. `same_header` vouches that all files
     are alike and have no such field, and skips that pass.
     """

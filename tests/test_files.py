@@ -54,6 +54,12 @@ def test_ndjson_is_flattened_and_keeps_number_text(spark, tmp_path):
     assert df.columns == sorted(df.columns)
 
 
+def test_a_broken_line_is_kept_beside_the_good_ones(spark, tmp_path):
+    put(tmp_path, "a.json", '{"id":1}\n{"id":\n')
+    df = readers.read_ndjson(spark, str(tmp_path))
+    assert rows(df, "id", "_corrupt_record") == [("1", None), (None, '{"id":')]
+
+
 def test_documents(spark, tmp_path):
     doc = {"source": "outer", "period": "2026-04", "days": [{"d": 1, "source": "inner", "x": {"y": 2}}, {"d": 2}]}
     put(tmp_path, "a.json", json.dumps(doc, indent=2))

@@ -73,6 +73,14 @@ def test_hot_entities_are_cut(spark):
     assert "_chunk" in plan(cut) and "_chunk" not in plan(whole)
 
 
+def test_history_takes_one_shuffle_on_the_entity(spark, tmp_path):
+    path = str(tmp_path / "log")
+    spark.createDataFrame(random_log(4), SCHEMA).write.parquet(path)
+    for spec in (SNAPSHOT, LOG):
+        plan = build_history(spark.read.parquet(path), spec)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
+
+
 def test_one_moment_for_all_rows_of_a_hot_entity(spark):
     rows = [("hot", START, "I", "1", "p")] + [(f"e{i}", START, "I", "1", "p") for i in range(20)]
     assert built(spark, rows, SNAPSHOT, 1)[0] == expected_versions(rows, False)

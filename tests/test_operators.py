@@ -93,6 +93,12 @@ def test_keep_one_limits_groups_before_the_shuffle(spark):
     assert plan(keep_one(df, ["k"])).count("WindowGroupLimit") == 2
 
 
+def test_copies_are_combined_before_the_shuffle(spark):
+    copies = spark.range(1000).select(F.lit("same").alias("k"), F.lit("f").alias("_source_file")).repartition(4)
+    deduped = distinct_records(copies)
+    assert deduped.count() == 1 and plan(deduped).count("SortAggregate") == 2
+
+
 def test_distinct_records_look_past_provenance(spark):
     rows = [("a", None, "t2", "f2"), ("a", None, "t1", "f9"), ("b", 1, "t1", "f1")]
     df = spark.createDataFrame(rows, "k string, v int, _ingest_ts string, _source_file string")
