@@ -87,8 +87,8 @@ def scd2_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(SNAPSHOT_SQL)
 def scd2_snapshot_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same history where users of 25 events or more are cut along time."""
-    return _daily_state_history(spark, sf_dir, 25)
+    """The same history where users of 70 events or more are cut along time."""
+    return _daily_state_history(spark, sf_dir, 70)
 
 
 CHANGES = History("user_id", "ts", ("grade",), "user_sk", op="op")
@@ -131,8 +131,8 @@ def scd2_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(CHANGES_SQL)
 def scd2_changes_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same history where users of 60 events or more are cut along time."""
-    return _change_history(spark, sf_dir, 60)
+    """The same history where users of 75 events or more are cut along time."""
+    return _change_history(spark, sf_dir, 75)
 
 
 @query("""

@@ -55,8 +55,7 @@ SELECT 'CTY-' || o_orderstatus AS city_id, {ORDER_DAY} AS date, substr({ORDER_DA
        CASE WHEN o_orderpriority = '2-HIGH' THEN 'rain' ELSE '0.5' END AS precip_mm
 FROM {{orders}}""",
     "riders": f"""
-SELECT o.*, again.dt, again.dt AS _ingest_ts, 'riders-' || again.dt || '.csv' AS _source_file, 'Rider-Service' AS _source_system
-FROM (SELECT 'RD-' || CAST(o_custkey AS STRING) AS rider_id,
+WITH o AS (SELECT 'RD-' || CAST(o_custkey AS STRING) AS rider_id,
        CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' AND o_totalprice < 100000 THEN 'D'
             WHEN o_orderstatus = 'O' THEN 'I' ELSE 'U' END AS op,
        {ORDER_DAY} || 'T08:00:00Z' AS op_ts,
@@ -67,11 +66,12 @@ FROM (SELECT 'RD-' || CAST(o_custkey AS STRING) AS rider_id,
        {ORDER_DAY} AS signup_date, 'PLAN-' || o_orderstatus AS plan_id,
        CASE WHEN o_orderstatus = 'F' THEN 'true' WHEN o_totalprice > 450000 THEN 'maybe' ELSE 'false' END AS marketing_consent,
        CASE WHEN o_orderstatus = 'P' THEN 'deleted' ELSE 'active' END AS account_status,
-       '19' || substr({ORDER_DAY}, 9, 2) AS birth_year, 'CTY-' || o_orderstatus AS home_city_id,
-       o_orderstatus
-    FROM {{orders}}) o
-JOIN (SELECT '2026-04-02' AS dt, 'O F P' AS statuses UNION ALL SELECT '2026-04-03', 'P') again
-  ON instr(again.statuses, o.o_orderstatus) > 0""",
+       '19' || substr({ORDER_DAY}, 9, 2) AS birth_year, 'CTY-' || o_orderstatus AS home_city_id
+    FROM {{orders}})
+SELECT *, '2026-04-02' AS dt, '2026-04-02' AS _ingest_ts, 'riders-1.csv' AS _source_file, 'Rider-Service' AS _source_system
+FROM o
+UNION ALL
+SELECT *, '2026-04-03', '2026-04-03', 'riders-2.csv', 'Rider-Service' FROM o WHERE account_status = 'deleted'""",
     "vehicles": f"""
 SELECT 'VH-' || CAST(l_partkey AS STRING) AS vehicle_id, {SHIP_DAY} AS snapshot_date,
        'OP-' || CAST(l_suppkey AS STRING) AS operator_id,
@@ -281,7 +281,7 @@ kept AS (SELECT DISTINCT * EXCLUDE (dt, reason) FROM clean WHERE reason IS NULL)
 
 
 def _riders(spark: SparkSession, sf_dir: str) -> Parted:
-    return silver.riders(raw(spark, sf_dir, "riders").drop("o_orderstatus"), _operators_in_credit(spark, sf_dir))
+    return silver.riders(raw(spark, sf_dir, "riders"), _operators_in_credit(spark, sf_dir))
 
 
 @query(f"""{RIDERS_SQL}
