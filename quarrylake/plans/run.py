@@ -40,7 +40,7 @@ def store(parted: Parted, lake: Lake, table: str) -> None:
     Both sides are computed once, into a staging table of the shared scratch
     folder; the sinks then read their own side of it.
     """
-    both = staged(parted.both(), table)
+    both = staged(parted.both(), lake.silver(table))
     kept = both.where(F.col(REASON).isNull()).select(*parted.kept.columns)
     write_table(kept, lake.silver(table), LAYOUT.get(table, ()))
     rejected = both.where(F.col(REASON).isNotNull()).select(*parted.rejected.columns)

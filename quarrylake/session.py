@@ -45,8 +45,8 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="quarrylake-")
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder named by `spark.checkpoint.dir`.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by `spark.checkpoint.dir`, which every executor can reach.
 
     Only a local-mode session without that setting falls back to a temporary
     folder of this machine; on a cluster the setting is required.
@@ -56,4 +56,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = _local_folder()
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return root.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path below the shared folder."""
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylake.session import scratch_path
+from quarrylake.session import shared_folder
 
 
 def read_table(spark: SparkSession, path: str, merge: bool = False) -> DataFrame:
@@ -39,12 +40,14 @@ def append_rejects(rejected: DataFrame, path: str) -> None:
     write_table(rejected, path, ["reject_date"], mode="append")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, owner: str) -> DataFrame:
     """Write a result once to the shared scratch folder and read it from there.
 
     Two sinks of one plan then share its shuffles, and a lost executor costs a
-    re-read instead of a recomputation.
+    re-read instead of a recomputation. The next run of the same owner
+    replaces the staged rows, so scratch holds one copy per owner.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    name = hashlib.sha256(owner.encode()).hexdigest()[:16]
+    path = f"{shared_folder(df.sparkSession)}/staged-{name}"
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

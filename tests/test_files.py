@@ -200,7 +200,8 @@ def test_scratch_lies_below_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         assert scratch_path(spark, "x").startswith(f"{shared.rstrip('/')}/x-")
-    assert tables.staged(spark.range(3), "x").count() == 3
+    for rows_now in (3, 2):
+        assert tables.staged(spark.range(rows_now), "x").count() == rows_now
 
 
 def test_a_cluster_without_a_shared_folder_is_refused():
