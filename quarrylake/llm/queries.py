@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylake.llm import quality
-from quarrylake.llm.common import table
+from quarrylake.llm import neardup, packing, quality
+from quarrylake.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +22,14 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op3_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document and its place in a sequence of 1024 tokens."""
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = stored(packing.tokenise(table(spark, sf_dir, "documents"), vocabulary), "packing-pieces")
+    return packing.place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
 @query
 def op5_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics, base rule and robust verdict of every document."""
@@ -29,3 +38,10 @@ def op5_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.round("distance", 6).alias("distance"),
     )
+
+
+@query
+def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
