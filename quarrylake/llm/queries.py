@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylake.llm import neardup, packing, quality
+from quarrylake.llm import neardup, packing, pii, quality
 from quarrylake.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,15 @@ def op5_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base personal data of every document, and the spans that learned contexts add."""
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["rank"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.BASE)]
+    base = F.sha2(pii.written(F.col("base")).cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, pii.written(F.col("spans")).alias("spans"))
+
+
 @query
 def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
