@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylake.llm import neardup, packing, pii, quality
+from quarrylake.llm import mixing, neardup, packing, pii, quality
 from quarrylake.llm.common import stored, table
+from quarrylake.llm.sql import mixing_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +23,18 @@ def query(function: Query) -> Query:
     return function
 
 
+MIX = {"share": 0.6, "epochs": 2}
+
+
+@query
+def op2_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document the mixture takes, a row per epoch."""
+    return mixing.drawn(table(spark, sf_dir, "documents"), **MIX)
+
+
+SQL["op2_hierarchical_mixing"] = mixing_sql(**MIX)
+
+
 @query
 def op3_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document and its place in a sequence of 1024 tokens."""
