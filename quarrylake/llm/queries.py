@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylake.llm import mixing, neardup, packing, pii, quality
+from quarrylake.llm import mixing, neardup, packing, pii, quality, topk, warc
 from quarrylake.llm.common import stored, table
-from quarrylake.llm.sql import mixing_sql
+from quarrylake.llm.sql import archive_sql, mixing_sql, top_k_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,15 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record of every page, written to an archive and read back from it."""
+    archive = warc.write_archive(table(spark, sf_dir, "pages"))
+    return warc.read_archive(spark, archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op1_content_archive"] = archive_sql()
+
 MIX = {"share": 0.6, "epochs": 2}
 
 
@@ -43,6 +52,19 @@ def op3_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
+TOP, EVERY = 10, 100
+
+
+@query
+def op4_impact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best inner products of every hundredth vector, against all vectors."""
+    vectors = topk.whole_vectors(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(topk.index(vectors), vectors.filter(F.col("vec_id") % EVERY == 0), TOP)
+
+
+SQL["op4_impact_topk"] = top_k_sql(TOP, EVERY)
+
+
 @query
 def op5_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics, base rule and robust verdict of every document."""

@@ -44,3 +44,29 @@ begun AS (SELECT *, coalesce(sum(tokens) OVER (PARTITION BY {leaf} ORDER BY plac
 times AS (SELECT *, whole + CASE WHEN begin < rest THEN 1 ELSE 0 END AS n FROM begun)
 SELECT doc_id, {leaf}, tokens AS n_tokens, unnest(range(n))::INT AS epoch FROM times WHERE n > 0
 """
+
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+
+def archive_sql() -> str:
+    characters = " || ".join(
+        f"'{BASE32}'[((('0x' || h[{5 * g + 1}:{5 * g + 5}])::BIGINT >> {s}) & 31) + 1]" for g in range(8) for s in (15, 10, 5, 0)
+    )
+    return f"""
+WITH bodies AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+hashed AS (SELECT page_id, body, sha1(body) AS h, min(page_id) OVER (PARTITION BY body) AS first_id FROM bodies)
+SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes, {characters} AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM hashed
+"""
+
+
+def top_k_sql(k: int, every: int) -> str:
+    return f"""
+WITH whole AS (SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % {every} = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {k}
+"""
