@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylake.llm import mixing, neardup, packing, pii, quality, topk, warc
+from quarrylake.llm import classifier, mixing, neardup, packing, pii, quality, topk, warc
 from quarrylake.llm.common import stored, table
 from quarrylake.llm.sql import archive_sql, mixing_sql, top_k_sql
 
@@ -84,6 +84,12 @@ def op7_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, base, pii.written(F.col("spans")).alias("spans"))
 
 
+@query
+def op8_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labels that are not held out."""
+    return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
