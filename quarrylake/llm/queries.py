@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylake.llm import classifier, mixing, neardup, packing, pii, quality, topk, warc
+from quarrylake.llm import classifier, licenses, mixing, neardup, packing, pii, quality, topk, warc
 from quarrylake.llm.common import stored, table
-from quarrylake.llm.sql import archive_sql, mixing_sql, top_k_sql
+from quarrylake.llm.sql import archive_sql, license_sql, mixing_sql, top_k_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +75,15 @@ def op5_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    return licenses.license_labels(table(spark, sf_dir, "documents"))
+
+
+SQL["op6_license_join"] = license_sql(licenses.PHRASES, licenses.TEMPLATES, licenses.CONTAINMENT)
+
+
 @query
 def op7_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base personal data of every document, and the spans that learned contexts add."""

@@ -70,3 +70,32 @@ scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {k}
 """
+
+
+def license_sql(phrases, templates, containment: float) -> str:
+    """Phrases by comparing slices of the word list, templates by intersecting every line with each."""
+    signs = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    listed = ", ".join(f"({k}, '{label}', '{text}')" for k, (label, text) in enumerate(templates))
+    starts = [
+        f"[i - 1 FOR i IN range(1, len(w) + 1) IF w[i:i + {len(p.split()) - 1}] = {p.split()!r}]" for p, _ in phrases
+    ]
+    columns = ", ".join(f"{s} AS at_{k}" for k, s in enumerate(starts))
+    joined = " || ".join(f"at_{k}" for k in range(len(phrases)))
+    base = ", ".join(f"CASE WHEN len(at_{k}) > 0 THEN '{label}' END" for k, (_, label) in enumerate(phrases))
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS id, doc_id, {lower.format("coalesce(text, '')")} AS t FROM documents),
+templates(k, label, t) AS (VALUES {listed}),
+owned AS (SELECT k, label, list_distinct(regexp_extract_all({lower.format('t')}, '{signs}')) AS own FROM templates),
+lines AS (SELECT id, list_distinct(regexp_extract_all(line, '{signs}')) AS held FROM (SELECT id, unnest(string_split(t, chr(10))) AS line FROM docs)),
+met AS (SELECT id, label, len(list_intersect(held, own))::DOUBLE / len(own) AS share FROM lines, owned
+  WHERE len(list_intersect(held, own)) >= ceil({containment} * len(own) - 1e-9)),
+found AS (SELECT id, list(DISTINCT label) AS labels, max(share) AS share FROM met GROUP BY id),
+words AS (SELECT id, doc_id, regexp_extract_all(t, '{signs}') AS w FROM docs),
+placed AS (SELECT id, doc_id, len(w)::BIGINT AS n_words, {columns} FROM words),
+based AS (SELECT id, doc_id, n_words, {joined} AS starts, [x FOR x IN list_sort([{base}]) IF x IS NOT NULL] AS base FROM placed)
+SELECT doc_id, n_words, len(starts)::BIGINT AS n_base, list_min(starts)::BIGINT AS first_word, list_max(starts)::BIGINT AS last_word,
+  array_to_string(base, ',') AS base_labels, array_to_string(list_sort(list_distinct(base || coalesce(labels, []))), ',') AS labels,
+  coalesce(share, CASE WHEN len(starts) > 0 THEN 0.5 ELSE 0.0 END)::DOUBLE AS score
+FROM based LEFT JOIN found USING (id)
+"""
