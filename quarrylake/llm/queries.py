@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylake.llm import classifier, licenses, mixing, neardup, packing, pii, quality, topk, warc
+from quarrylake.llm import classifier, licenses, mixing, neardup, packing, pii, quality, substrings, topk, warc
 from quarrylake.llm.common import stored, table
 from quarrylake.llm.sql import archive_sql, license_sql, mixing_sql, top_k_sql
 
@@ -104,3 +104,11 @@ def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
     found = neardup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op10_compacted_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in windows held by a smaller document."""
+    found = substrings.repeated_spans(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
+    return found.select("doc_id", "n_words", removed.alias("n_removed"), "kept_sha256")
