@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarrylake.llm.common import WORD, batch, release, stored
@@ -43,10 +43,12 @@ ATTEMPTS = 64  # donors tried for an empty bin before the nearest full one is ta
 # Below this many shingles a set's least hashes are its keys.
 FEW = 64
 
-SIGNATURE = "doc_id bigint, text_hash bigint, n_shingles bigint, set_a bigint, set_b bigint, keys array<bigint>"
+BITS = 2048  # size of the bitmap that bounds an intersection from above
+
+SIGNATURE = "doc_id bigint, text_hash bigint, n_shingles bigint, set_a bigint, set_b bigint, keys array<bigint>, bits array<bigint>"
 SIGNATURE_ARROW = pa.schema([
     ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()),
-    ("set_a", pa.int64()), ("set_b", pa.int64()), ("keys", pa.list_(pa.int64())),
+    ("set_a", pa.int64()), ("set_b", pa.int64()), ("keys", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64())),
 ])
 SETS_ARROW = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
@@ -92,6 +94,13 @@ def bucket_keys(hashes: np.ndarray, donor: np.ndarray) -> np.ndarray:
     return np.concatenate(keys)
 
 
+def bitmap(hashes: np.ndarray) -> np.ndarray:
+    """The low bits of the hashes as a set, 64 to a number."""
+    there = np.zeros(BITS, dtype=np.uint8)
+    there[(hashes % np.uint64(BITS)).astype(np.int64)] = 1
+    return np.packbits(there).view(np.int64)
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """Per row of (doc_id, text): shingle count, a 128-bit hash of the set, bucket keys."""
 
@@ -107,6 +116,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 out["set_a"].append(signed(int(np.add.reduce(mixed(hashes, 11)))))
                 out["set_b"].append(signed(int(np.add.reduce(mixed(hashes, 13)))))
                 out["keys"].append(bucket_keys(hashes, donor).view(np.int64) if len(hashes) else none)
+                out["bits"].append(bitmap(hashes))
             yield batch(SIGNATURE_ARROW, out)
 
     return with_text_hash(docs).mapInArrow(each, SIGNATURE)
@@ -138,19 +148,41 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
 def classes_of(sig: DataFrame) -> DataFrame:
     """One row per distinct shingle set: its row number `node`, and the row that stands for it."""
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
-    least = sig.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min(order).alias("first"))
-    return stored(least.select("set_a", "set_b", "first.doc_id", "first.text_hash", F.monotonically_increasing_id().alias("node")), "neardup-classes")
+    least = sig.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min(order).alias("first"), F.max("n_shingles").alias("n"))
+    return stored(least.select("set_a", "set_b", "first.doc_id", "first.text_hash", "n", F.monotonically_increasing_id().alias("node")), "neardup-classes")
+
+
+def standing(sig: DataFrame, classes: DataFrame) -> DataFrame:
+    """The row of `sig` that stands for each class, with `node` and `n`."""
+    first = classes.withColumnsRenamed({"doc_id": "first_id", "text_hash": "first_hash"})
+    same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))
+    return sig.join(first, ["set_a", "set_b"]).filter(same)
 
 
 def crowded_buckets(sig: DataFrame, classes: DataFrame) -> DataFrame:
     """(key, node) of every bucket with two classes or more, with the bucket's size."""
-    first = classes.withColumnsRenamed({"doc_id": "first_id", "text_hash": "first_hash"})
-    standing = sig.join(first, ["set_a", "set_b"]).filter(F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash")))
-    rows = standing.select("node", F.explode("keys").alias("key"))
+    rows = standing(sig, classes).select("node", F.explode("keys").alias("key"))
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("lo"), F.max("node").alias("hi"))
     return stored(rows.join(sizes.filter("lo < hi").select("key", "size"), "key").dropDuplicates(["key", "node"]), "neardup-buckets")
 
 
+def possible(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """The pairs that bitmaps do not rule out.
+
+    A bit that only one of two sets has stands for a shingle, or more, that the
+    other lacks, so the bound on the intersection never loses a link.
+    """
+    side = lambda end: members.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}"))
+    both = pairs.join(side("b"), "b").join(side("a"), "a")
+
+    def lacking(left: str, right: str) -> Column:
+        counts = F.zip_with(left, right, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))
+        return F.aggregate(counts, F.lit(0).cast("bigint"), lambda n, k: n + k)
+
+    most = F.least(F.col("n_a") - lacking("bits_a", "bits_b"), F.col("n_b") - lacking("bits_b", "bits_a"))
+    return both.filter(100 * most >= PERCENT * (F.col("n_a") + F.col("n_b") - most)).select("a", "b")
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold.
 
@@ -184,38 +216,69 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
             return labels
 
 
-def link_classes(docs: DataFrame, classes: DataFrame, buckets: DataFrame, rounds: int) -> DataFrame:
-    """(node, label) over all classes that share a bucket, and nothing for the others."""
-    weights = buckets.groupBy("node").agg(F.sum("size").alias("weight"))
-    members = stored(weights.join(classes, "node").select("node", "weight", "doc_id", "text_hash"), "neardup-members")
+def sets_of(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """Stored (node, shingles) of the classes that share a bucket, from one text each."""
     named = members.select("node", F.col("doc_id").alias("first_id"), F.col("text_hash").alias("first_hash"))
-    texts = with_text_hash(docs)
-    found_texts = texts.join(named, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash")))
-    sets = stored(shingle_sets(found_texts), "neardup-sets")
+    same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))
+    return stored(shingle_sets(with_text_hash(docs).join(named, same)), "neardup-sets")
+
+
+def star_pairs(rows: DataFrame, labels: DataFrame, used: DataFrame | None, tested: DataFrame | None, nearest: bool) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of one round, and the centres (key, node) it used.
+
+    `rows` are (key, node, weight, n). Only buckets with several components take
+    part. A bucket's centre is its heaviest member of a component that gave it no
+    centre yet, and is paired with all members of other components whose set
+    sizes allow a link. With `nearest` a member only meets its heaviest centre.
+    Pairs of earlier rounds are left out.
+    """
+    placed = rows.join(labels, "node")
+    open_keys = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
+    placed = stored(placed.join(open_keys, "key"), "neardup-open")
+    free = placed
+    if used is not None:
+        taken = used.join(labels, "node").select("key", "label").distinct()
+        free = placed.join(taken, ["key", "label"], "left_anti")
+    best = F.max(F.struct("weight", (-F.col("node")).alias("least"), "label", "n")).alias("best")
+    centres = free.groupBy("key").agg(best).select("key", (-F.col("best.least")).alias("a"), F.col("best.label").alias("label_a"), F.col("best.n").alias("n_a"), F.col("best.weight").alias("weight_a"))
+    centres = stored(centres, "neardup-centres")
+    able = 100 * F.least("n", "n_a") >= PERCENT * F.greatest("n", "n_a")
+    met = placed.join(centres, "key").filter((F.col("label") != F.col("label_a")) & able)
+    if nearest:
+        heaviest = F.max(F.struct("weight_a", (-F.col("a")).alias("least"))).alias("best")
+        pairs = met.groupBy(F.col("node").alias("b")).agg(heaviest).select((-F.col("best.least")).alias("a"), "b")
+    else:
+        pairs = met.select("a", F.col("node").alias("b")).distinct()
+    if tested is not None:
+        pairs = pairs.join(tested.unionByName(tested.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
+    return stored(pairs, "neardup-pairs"), centres.select("key", F.col("a").alias("node"))
+
+
+def link_classes(docs: DataFrame, sig: DataFrame, classes: DataFrame, buckets: DataFrame, rounds: int) -> DataFrame:
+    """(node, label) over all classes that share a bucket, and nothing for the others.
+
+    A first round joins every class to its heaviest centre, which settles most of a
+    group of near copies with one pair a member; later rounds only see buckets that
+    still hold several components.
+    """
+    weights = buckets.groupBy("node").agg(F.sum("size").alias("weight"))
+    members = stored(standing(sig, classes.join(weights, "node")).select("node", "weight", "n", "bits", "doc_id", "text_hash").dropDuplicates(["node"]), "neardup-members")
+    rows = stored(buckets.select("key", "node").join(members.select("node", "weight", "n"), "node"), "neardup-rows")
+    sets = sets_of(docs, members)
     release(docs.sparkSession)
-    rows = stored(buckets.join(members.select("node", "weight"), "node").select("key", "node", "weight"), "neardup-rows")
     nodes = members.select("node")
-    labels, links, used = nodes.select("node", F.col("node").alias("label")), None, None
-    for _ in range(rounds):
-        placed = rows.join(labels, "node")
-        mixed_keys = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
-        placed = stored(placed.join(mixed_keys, "key"), "neardup-open")
-        free = placed
-        if used is not None:
-            taken = used.join(labels, "node").select("key", "label").distinct()
-            free = placed.join(taken, ["key", "label"], "left_anti")
-        centres = free.groupBy("key").agg(F.max(F.struct("weight", (-F.col("node")).alias("least"), "label")).alias("best"))
-        centres = stored(centres.select("key", (-F.col("best.least")).alias("a"), F.col("best.label").alias("label_a")), "neardup-centres")
-        pairs = placed.join(centres, "key").filter(F.col("label") != F.col("label_a"))
-        pairs = stored(pairs.select("a", F.col("node").alias("b")).distinct(), "neardup-pairs")
-        if pairs.isEmpty():
-            break
-        found = stored(confirmed(pairs, sets), "neardup-links")
-        taken_now = centres.select("key", F.col("a").alias("node"))
-        used = taken_now if used is None else used.unionByName(taken_now)
+    labels, links, used, tested = nodes.select("node", F.col("node").alias("label")), None, None, None
+    for number in range(rounds + 1):
+        pairs, centres = star_pairs(rows, labels, used, tested, nearest=number == 0)
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        if number:
+            used = centres if used is None else used.unionByName(centres)
+        found = stored(confirmed(stored(possible(pairs, members), "neardup-possible"), sets), "neardup-links")
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             labels = components(nodes, links)
+        elif number and pairs.isEmpty():
+            break
         release(docs.sparkSession)
     return labels
 
@@ -227,7 +290,7 @@ def near_duplicates(docs: DataFrame, rounds: int = 3) -> DataFrame:
     classes = classes_of(sig)
     buckets = crowded_buckets(sig, classes)
     release(docs.sparkSession)
-    labels = link_classes(docs, classes, buckets, rounds)
+    labels = link_classes(docs, sig, classes, buckets, rounds)
     joined = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = joined.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     ends = stored(joined.join(least, "label").select("set_a", "set_b", "component_id"), "neardup-components")
@@ -246,4 +309,5 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     chosen = full.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")))
     once = chosen.dropDuplicates(["__id", "__hash"])
     empty = rows.filter(F.col("text").isNull() | ~F.col("text").rlike(WORD))
-    return once.select(docs.columns).unionByName(empty.select(docs.columns))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    return once.select(*names).unionByName(empty.select(*names))
