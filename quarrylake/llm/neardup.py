@@ -302,12 +302,14 @@ def near_duplicates(docs: DataFrame, rounds: int = 3) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """One row of each component, columns unchanged; every row without words stays."""
     judged = near_duplicates(docs, **options)
-    kept = stored(judged.filter("kept and n_shingles > 0").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "neardup-kept")
+    keys = judged.filter("kept and n_shingles > 0").groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    kept = stored(keys.agg(F.count(F.lit(1)).alias("__copies")), "neardup-kept")
     release(docs.sparkSession)
     rows = docs.withColumn("__text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
     full = rows.filter(F.col("text").rlike(WORD))
     chosen = full.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")))
-    once = chosen.dropDuplicates(["__id", "__hash"])
+    # Only rows that repeat id and text need another look, and only they are shuffled for it.
+    once = chosen.filter("__copies = 1").unionByName(chosen.filter("__copies > 1").dropDuplicates(["__id", "__hash"]))
     empty = rows.filter(F.col("text").isNull() | ~F.col("text").rlike(WORD))
     names = [F.col(f"`{c}`") for c in docs.columns]
     return once.select(*names).unionByName(empty.select(*names))

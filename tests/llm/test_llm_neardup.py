@@ -88,8 +88,10 @@ def test_odd_rows(spark):
 def test_one_row_of_a_component_stays(spark):
     docs = odd_documents(spark)
     kept = neardup.drop_near_duplicates(docs)
-    assert kept.schema == docs.schema and kept.exceptAll(docs).count() == 0
-    ids = sorted((r.doc_id is None, r.doc_id) for r in kept.collect())
+    assert kept.schema == docs.schema
+    got = kept.collect()
+    assert set(got) <= set(docs.collect())
+    ids = sorted((r.doc_id is None, r.doc_id) for r in got)
     assert ids == [(False, i) for i in (0, *range(3, 14))] + [(True, None)]
     assert neardup.drop_near_duplicates(empty_documents(spark)).count() == 0
 
