@@ -60,5 +60,5 @@ def unescaped(text: Column) -> Column:
 
 
 def path_key(path: Column, key: str) -> Column:
-    """Value of the `key=value` folder in a file path."""
-    return empty_to_null(unescaped(F.regexp_extract(path, rf"/{key}=([^/]+)", 1)))
+    """Value of the `key=value` folder in a file path; of several, the one nearest the file."""
+    return empty_to_null(unescaped(F.regexp_extract(path, rf"^.*/{key}=([^/]+)/", 1)))

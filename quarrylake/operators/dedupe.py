@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,19 +19,23 @@ def total_order(df: DataFrame, keys: Sequence[str], *first: Column) -> list[Colu
     return [*first, *[F.col(c) for c in (*provenance, *others)]]
 
 
-def keep_one(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
+def keep_one(df: DataFrame, keys: Sequence[str], *order: Column, nulls_apart: bool = False) -> DataFrame:
     """The first row of each key under `order`, ties broken by all other columns.
 
     Rank-equals-one is planned as a group limit on both sides of the shuffle:
-    each task sends at most one row per key, so a hot key stays small.
+    each task sends at most one row per key, so a hot key stays small. With
+    `nulls_apart` a null in the key is no value that rows could share: such rows
+    are duplicates only where they are equal in every column.
     """
-    ranking = Window.partitionBy(*keys).orderBy(*total_order(df, keys, *order))
+    keyless = reduce(or_, [F.col(k).isNull() for k in keys])
+    own = [F.when(keyless, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))] if nulls_apart else []
+    ranking = Window.partitionBy(*keys, *own).orderBy(*total_order(df, keys, *order))
     return df.withColumn("_rank", F.row_number().over(ranking)).where("_rank = 1").drop("_rank")
 
 
-def keep_latest(df: DataFrame, keys: Sequence[str], moment: str) -> DataFrame:
+def keep_latest(df: DataFrame, keys: Sequence[str], moment: str, nulls_apart: bool = False) -> DataFrame:
     """The newest row of each key; rows without a moment count as oldest."""
-    return keep_one(df, keys, F.col(moment).desc_nulls_last())
+    return keep_one(df, keys, F.col(moment).desc_nulls_last(), nulls_apart=nulls_apart)
 
 
 def distinct_records(df: DataFrame, ignore: Sequence[str] = PROVENANCE) -> DataFrame:

@@ -13,8 +13,6 @@ from quarrylake.functions.keys import UNKNOWN_KEY, hashed
 # The days the calendar covers unless told otherwise.
 FIRST_DAY, LAST_DAY = "2026-01-01", "2026-12-31"
 
-MAX_COMBINATIONS = 1_000_000
-
 
 def with_unknown_member(dim: DataFrame, surrogate: str) -> DataFrame:
     """Append the member that facts without a match point to."""
@@ -75,28 +73,17 @@ def enumerated_dimension(df: DataFrame, column: str, surrogate: str) -> DataFram
     return with_unknown_member(keyed(values, surrogate, column), surrogate)
 
 
-def combinations(df: DataFrame, columns: Sequence[str], most: int = MAX_COMBINATIONS) -> DataFrame:
+def combinations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Every combination of the values that occur in each column.
 
-    The distinct rows are combined map-side first; only the value sets of the
-    columns then meet in one row, which generators expand. A column that is no
-    enumeration fails the job instead of growing without bound.
+    Each value set is a distinct over one column, combined map-side. Their
+    product is what a junk dimension is; it is planned as joins without a key,
+    so its rows are made on all tasks and have no bound.
     """
-    sets = [F.collect_set(F.struct(c)).alias(c) for c in columns]
-    # one row above the bound is enough to fail below, so nothing is lost by the limit
-    seen = df.select(*columns).distinct().limit(most + 1)
-    domains = seen.agg(F.count(F.lit(1)).alias("_seen"), *sets)
-    total = F.lit(1).cast("bigint")
-    for c in columns:
-        total = total * F.size(c)
-    too_many = (F.col("_seen") > most) | (total > most)
-    domains = domains.where(
-        F.when(too_many, F.raise_error(F.lit("too many combinations for a junk dimension")).cast("boolean"))
-        .otherwise(F.lit(True))
-    )
-    for c in columns:
-        domains = domains.withColumn(c, F.explode(c))
-    return domains.select(*[F.col(f"{c}.{c}").alias(c) for c in columns])
+    first, *others = [df.select(c).distinct() for c in columns]
+    for values in others:
+        first = first.crossJoin(values)
+    return first
 
 
 def junk_dimension(df: DataFrame, columns: Sequence[str], surrogate: str) -> DataFrame:

@@ -24,8 +24,6 @@ from quarrylake.operators.skew import HOT_ROWS, HotKeys, find_hot
 OPEN_END = "9999-12-31 00:00:00"
 INSERT, UPDATE, DELETE = "I", "U", "D"
 
-MAX_CHUNKS = 2048
-
 
 @dataclass(frozen=True)
 class History:
@@ -175,10 +173,9 @@ def build_history(
         df = keep_one(df, [spec.entity, spec.moment], *ties)
     columns = df.columns
     if hot:
-        is_hot = hot.holds([spec.entity])
-        chunks = min(MAX_CHUNKS, max(2, -(-hot.rows // hot_rows)))
-        large = cut_along_time(df.where(is_hot), spec.moment, chunks)
-        versions = _versions(df.where(~is_hot), spec).unionByName(_versions_by_chunk(large, spec))
+        chunks = max(2, -(-hot.rows // hot_rows))
+        large = cut_along_time(hot.rows_of(df, [spec.entity]), spec.moment, chunks)
+        versions = _versions(hot.others(df, [spec.entity]), spec).unionByName(_versions_by_chunk(large, spec))
     else:
         versions = _versions(df, spec)
 

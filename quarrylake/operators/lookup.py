@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarrylake.operators.dedupe import keep_one
 from quarrylake.operators.skew import HotKeys, join_unique
 
 FLAG = "_matched"
@@ -41,9 +42,10 @@ def add_attributes(
 ) -> DataFrame:
     """Left outer lookup of reference attributes; rows without a match get nulls.
 
-    The reference must hold each key once.
+    A reference that lists a key more than once counts with one of its rows, so
+    rows never fan out.
     """
-    wanted = reference.select(key, *attributes)
+    wanted = keep_one(reference.select(key, *attributes).where(F.col(key).isNotNull()), [key])
     return _in_order(join_unique(df, wanted, [key], hot), [*df.columns, *attributes])
 
 

@@ -14,6 +14,7 @@ from quarrylake.operators.skew import HotKeys
 
 REASON = "_reject_reason"
 RAW = "_raw"
+UNREAD = "_corrupt_record"  # the reader's copy of text it could not parse
 
 # The reasons written to quarantine.
 ORPHAN_OPERATOR = "invalid_fk_operator"
@@ -22,6 +23,7 @@ NO_TIMES = "Missing Start_ts and End_ts"
 REVERSED_TIMES = "Impossible End and Start Timestamps"
 UNKNOWN_COUNTRY = "Unknown country"
 UNREADABLE = "Unreadable value"
+NO_KEY = "Missing key"
 
 
 class Rule(NamedTuple):
@@ -55,7 +57,7 @@ def tag(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def part(tagged: DataFrame) -> Parted:
     """Every row lands on exactly one side."""
-    kept = tagged.where(F.col(REASON).isNull()).drop(REASON, RAW)
+    kept = tagged.where(F.col(REASON).isNull()).drop(REASON, RAW, UNREAD)
     return Parted(kept, tagged.where(F.col(REASON).isNotNull()), tagged)
 
 
@@ -67,6 +69,11 @@ def tag_orphans(
     return tag(marked, [Rule(reason, ~F.col(FLAG))]).drop(FLAG)
 
 
+def tag_keyless(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Tag the rows without a key, such as lines that could not be read."""
+    return tag(df, [Rule(NO_KEY, F.col(k).isNull()) for k in keys])
+
+
 def tag_unreadable(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Tag the rows where a typed column's text does not fit; `_raw` keeps them as they came."""
     bad = unreadable(df, types)

@@ -13,28 +13,38 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarrylake.session import scratch_path
+
 # A key below this many rows fits one task; it is never split.
 HOT_ROWS = 5_000_000
-# At most one hot key per this share of the table, so the list stays short.
-MAX_HOT = 4096
-# The sketch is kept in this many parts, so that no single task merges it all.
-PARTS = 64
-PART_KEYS = 64
-PART_TRACKED = 1024
+# A list of up to this many hot keys is broadcast (8 MB); a longer one is joined like any table.
+SHORT_LIST = 1_000_000
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Hashes of the hot keys (at most `PARTS * PART_KEYS`) and the rows they hold."""
+    """The hot keys' hashes as a stored table `h`, their number, and the rows they hold."""
 
-    hashes: tuple[int, ...]
+    found: DataFrame | None
+    keys: int
     rows: int
 
     def __bool__(self) -> bool:
-        return bool(self.hashes)
+        return self.keys > 0
+
+    def _list(self) -> DataFrame:
+        return F.broadcast(self.found) if self.keys <= SHORT_LIST else self.found
+
+    def rows_of(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """The rows of hot keys."""
+        return df.join(self._list(), key_hash(keys) == F.col("h"), "left_semi")
 
-    def holds(self, keys: Sequence[str]) -> Column:
-        return key_hash(keys).isin(list(self.hashes))
+    def others(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """All other rows."""
+        return df.join(self._list(), key_hash(keys) == F.col("h"), "left_anti")
+
+
+NONE_HOT = HotKeys(None, 0, 0)
 
 
 def key_hash(keys: Sequence[str]) -> Column:
@@ -42,25 +52,23 @@ def key_hash(keys: Sequence[str]) -> Column:
 
 
 def find_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> HotKeys:
-    """Keys with at least `hot_rows` rows, by a mergeable heavy-hitter sketch.
-
-    Reads only the key columns and combines map-side, so nothing is shuffled
-    per row. The driver gets a list of bounded size. This is a job of its own:
-    pass the stored table the keys come from, not a result with shuffles in it.
-    A table of fewer rows than a hot key needs is only counted, which Parquet
-    answers from its footers.
+    """All keys with at least `hot_rows` rows.
+
+    Rows are counted per hash, combined map-side, so a hot key is one row per
+    task. The bar is a number of rows, whatever the table's size, and the list
+    stays a table of its own; the driver only learns its length. This is a job
+    of its own: pass the stored table the keys come from, not a result with
+    shuffles in it. A table of fewer rows than a hot key needs is only counted,
+    which Parquet answers from its footers.
     """
     if df.count() < hot_rows:
-        return HotKeys((), 0)
-    hashes = df.select(key_hash(keys).alias("h"))
-    parts = hashes.groupBy(F.pmod("h", F.lit(PARTS)).alias("part")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.expr(f"approx_top_k(h, {PART_KEYS}, {PART_TRACKED})").alias("top"),
-    )
-    found = parts.collect()
-    floor = max(hot_rows, sum(p["rows"] for p in found) // MAX_HOT)
-    hot = [item for p in found for item in p["top"] if item["count"] >= floor]
-    return HotKeys(tuple(i["item"] for i in hot), sum(i["count"] for i in hot))
+        return NONE_HOT
+    counts = df.groupBy(key_hash(keys).alias("h")).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= hot_rows)
+    path = scratch_path(df.sparkSession, "hot-keys")
+    counts.write.parquet(path)
+    found = df.sparkSession.read.schema("h bigint, rows bigint").parquet(path)
+    total = found.agg(F.count("h").alias("keys"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()
+    return HotKeys(found.select("h"), total["keys"], total["rows"])
 
 
 def join_unique(
@@ -68,14 +76,14 @@ def join_unique(
 ) -> DataFrame:
     """Left outer join to a side that holds each key at most once.
 
-    Rows of hot keys are never shuffled: they meet the at most `len(hashes)`
-    right rows of those keys by broadcast, all other rows take the ordinary
-    join.
+    Rows of hot keys are never shuffled: they meet the right rows of those keys,
+    of which there are no more than hot keys, by broadcast; all other rows take
+    the ordinary join.
     """
     keys = list(keys)
     if not hot:
         return left.join(right, keys, "left")
-    is_hot = hot.holds(keys)
-    spread = left.where(~is_hot).join(right, keys, "left")
-    local = left.where(is_hot).join(F.broadcast(right.where(is_hot)), keys, "left")
+    few = hot.rows_of(right, keys)
+    spread = hot.others(left, keys).join(right, keys, "left")
+    local = hot.rows_of(left, keys).join(F.broadcast(few) if hot.keys <= SHORT_LIST else few, keys, "left")
     return spread.unionByName(local)

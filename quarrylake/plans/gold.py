@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarrylake.operators.dedupe import keep_one
 from quarrylake.operators.dimensions import (
     FIRST_DAY, LAST_DAY, date_dimension, days_between, enumerated_dimension, junk_dimension, keyed,
     time_dimension, with_unknown_member,
@@ -18,7 +19,7 @@ def reference(table: DataFrame, ref: Reference) -> DataFrame:
     """Key on the id, or on id and start of validity where the source keeps versions."""
     parts = [ref.key] if ref.scd_type == 1 else [ref.key, "valid_from"]
     surrogate = f"{ref.name}_sk"
-    return with_unknown_member(keyed(table, surrogate, *parts), surrogate)
+    return with_unknown_member(keyed(keep_one(table, parts), surrogate, *parts), surrogate)
 
 
 def vehicles(snapshots: DataFrame, hot_rows: int = HOT_ROWS, hot: HotKeys | None = None) -> DataFrame:
@@ -46,7 +47,7 @@ def payment_method(payments: DataFrame) -> DataFrame:
 
 
 def weather_day(weather: DataFrame) -> DataFrame:
-    return with_unknown_member(keyed(weather, "weather_day_sk", "city_id", "date"), "weather_day_sk")
+    return with_unknown_member(keyed(keep_one(weather, ["city_id", "date"]), "weather_day_sk", "city_id", "date"), "weather_day_sk")
 
 
 def ride_context(rides: DataFrame) -> DataFrame:

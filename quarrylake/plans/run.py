@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrylake.operators.quality import REASON, Parted, describe_rejects
 from quarrylake.plans import bronze, gold, silver
-from quarrylake.sources.tables import append_rejects, read_table, staged, write_table
+from quarrylake.sources.tables import read_table, replace_table, staged, write_table
 from quarrylake.spec import LAYOUT, Lake
 
 # Each cleaned table with the function that makes it and the cleaned tables it looks things up in.
@@ -35,16 +36,38 @@ def run_bronze(spark: SparkSession, lake: Lake) -> dict[str, int]:
 
 
 def store(parted: Parted, lake: Lake, table: str) -> None:
-    """Write the kept rows over the table and add the rejected ones to its quarantine.
+    """Replace the table by the kept rows and its quarantine by the rejected ones.
 
     Both sides are computed once, into a staging table of the shared scratch
-    folder; the sinks then read their own side of it.
+    folder; the sinks then read their own side of it. As every run computes a
+    table from all of bronze, what an earlier run wrote is not kept beside it:
+    no row under a folder it has left, no reject twice, no reject in clear text
+    that has been redacted since. A reject keeps the time it was first seen.
     """
     both = staged(parted.both(), lake.silver(table))
     kept = both.where(F.col(REASON).isNull()).select(*parted.kept.columns)
-    write_table(kept, lake.silver(table), LAYOUT.get(table, ()))
+    replace_table(kept, lake.silver(table), LAYOUT.get(table, ()))
     rejected = both.where(F.col(REASON).isNotNull()).select(*parted.rejected.columns)
-    append_rejects(describe_rejects(rejected, table), lake.quarantine(table))
+    described = since_first_seen(describe_rejects(rejected, table), lake.quarantine(table))
+    replace_table(staged(described, lake.quarantine(table)), lake.quarantine(table), ["reject_date"])
+
+
+def since_first_seen(described: DataFrame, path: str) -> DataFrame:
+    """Rejects with the reject time that equal rows already have in the quarantine."""
+    try:
+        known = read_table(described.sparkSession, path)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return described
+    row = [c for c in described.columns if c not in ("_reject_ts", "reject_date")]
+    if set(known.columns) != set(described.columns):
+        return described
+    name = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in row]), {"ignoreNullFields": "false"}), 256)
+    first = known.groupBy(name.alias("_name")).agg(F.min("_reject_ts").alias("_first"))
+    dated = described.withColumn("_name", name).join(first, "_name", "left")
+    dated = dated.withColumn("_reject_ts", F.coalesce("_first", "_reject_ts"))
+    return dated.withColumn("reject_date", F.to_date("_reject_ts")).select(*described.columns)
 
 
 def run_silver(spark: SparkSession, lake: Lake) -> list[str]:

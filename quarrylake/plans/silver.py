@@ -17,7 +17,7 @@ from quarrylake.operators.dedupe import PROVENANCE, distinct_records, keep_lates
 from quarrylake.operators.lookup import add_attributes, mark_members
 from quarrylake.operators.quality import (
     NO_TIMES, ORPHAN_OPERATOR, ORPHAN_RIDE, RAW, REASON, REVERSED_TIMES, UNKNOWN_COUNTRY,
-    Parted, Rule, part, tag, tag_orphans, tag_unreadable,
+    UNREADABLE, Parted, Rule, part, tag, tag_keyless, tag_orphans, tag_unreadable,
 )
 from quarrylake.operators.skew import HOT_ROWS, HotKeys, find_hot
 from quarrylake.spec import LENIENT, TYPES
@@ -86,7 +86,7 @@ def vehicles(raw: DataFrame, known_operators: DataFrame) -> Parted:
 
 
 def maintenance(raw: DataFrame) -> Parted:
-    clean = typed(keep_one(raw, ["id"]), "maintenance").withColumnRenamed("vehicle_ref", "vehicle_id")
+    clean = typed(tag_keyless(keep_one(raw, ["id"], nulls_apart=True), ["id"]), "maintenance").withColumnRenamed("vehicle_ref", "vehicle_id")
     return part(
         clean.withColumns(
             {
@@ -98,7 +98,9 @@ def maintenance(raw: DataFrame) -> Parted:
 
 
 def weather(raw: DataFrame) -> Parted:
-    return part(typed(raw, "weather").withColumn("city", F.col("city_id")))
+    """The newest delivery of each city and day."""
+    newest = keep_one(raw, ["city_id", "date"], *[F.col(c).desc() for c in ("_ingest_ts",) if c in raw.columns], nulls_apart=True)
+    return part(typed(tag_keyless(newest, ["city_id", "date"]), "weather").withColumn("city", F.col("city_id")))
 
 
 def rides(raw: DataFrame, known_cities: DataFrame) -> Parted:
@@ -112,7 +114,7 @@ def rides(raw: DataFrame, known_cities: DataFrame) -> Parted:
     zone = F.col("timezone")
     zoned = add_attributes(raw, "city_id", known_cities, ["timezone"])
     zoned = zoned.withColumn("updated_at", times.instant(F.col("updated_at"), zone))
-    clean = typed(keep_latest(zoned, ["ride_id"], "updated_at"), "rides")
+    clean = typed(tag_keyless(keep_latest(zoned, ["ride_id"], "updated_at", nulls_apart=True), ["ride_id"]), "rides")
     clean = clean.withColumns({c: times.instant(F.col(c), zone) for c in ("start_ts", "end_ts")})
     start, end = F.col("start_ts"), F.col("end_ts")
     clean = clean.withColumns(
@@ -131,11 +133,12 @@ def rides(raw: DataFrame, known_cities: DataFrame) -> Parted:
 def payments(raw: DataFrame, known_rides: DataFrame, hot_rows: int = HOT_ROWS) -> Parted:
     """One row per payment, in euros, for rides that exist."""
     hot = find_hot(raw, ["external_ref"], hot_rows)
-    clean = typed(keep_one(raw, ["payment_id"]), "payments")
+    clean = typed(tag_keyless(keep_one(raw, ["payment_id"], nulls_apart=True), ["payment_id"]), "payments")
     clean = clean.withColumnRenamed("external_ref", "ride_id").withColumn(
         "amount", amounts.from_minor_units(F.col("amount_minor"))
     )
-    clean = clean.withColumns(
+    lost = F.col("amount_minor").isNotNull() & F.col("amount").isNull()
+    clean = tag(clean, [Rule(UNREADABLE, lost)]).withColumns(
         {
             "amount_euros": amounts.in_euros(F.col("amount"), F.col("currency")).try_cast("decimal(10,2)"),
             "payment_date": times.day_of(F.col("captured_at")),
@@ -151,7 +154,7 @@ def telemetry(
     raw: DataFrame, known_vehicles: DataFrame, known_cities: DataFrame, hot_rows: int = HOT_ROWS
 ) -> Parted:
     """One row per event, in UTC and on the 0-1 battery scale; unregistered vehicles are flagged."""
-    clean = typed(keep_one(raw, ["event_id"]), "telemetry")
+    clean = typed(tag_keyless(keep_one(raw, ["event_id"], nulls_apart=True), ["event_id"]), "telemetry")
     zones_of = known_cities.select(F.col("city_id").alias("city"), "timezone")
     clean = add_attributes(clean, "city", zones_of, ["timezone"])
     clean = mark_members(clean, "vehicle_id", known_vehicles, "is_registered_vehicle",

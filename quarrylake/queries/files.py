@@ -182,8 +182,8 @@ SELECT DISTINCT 'event_type' AS key, event_type AS value FROM events
 """)
 def first_path_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Name and value of the first folder key of each file."""
-    files = list_files(spark, _events_by_type_and_day(spark, sf_dir), "*.parquet")
-    return first_key(files).select("key", "value").distinct()
+    base = _events_by_type_and_day(spark, sf_dir)
+    return first_key(list_files(spark, base, "*.parquet"), base).select("key", "value").distinct()
 
 
 @query("""

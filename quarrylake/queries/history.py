@@ -30,8 +30,8 @@ def scd1_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT sha256(concat_ws('|', CAST(o_custkey AS VARCHAR), CAST(CAST(o_orderdate AS DATE) AS VARCHAR))) AS terms_sk,
-       o_custkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS valid_from, o_orderpriority
-FROM orders
+       o_custkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS valid_from, min(o_orderpriority) AS o_orderpriority
+FROM orders GROUP BY o_custkey, CAST(o_orderdate AS DATE)
 UNION ALL SELECT '-1', NULL, NULL, NULL
 """)
 def scd2_reference_dim(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -282,8 +282,7 @@ def _fk_split(spark: SparkSession, sf_dir: str, hot_rows: int) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     hot = find_hot(orders, ["o_custkey"], hot_rows)
     tagged = tag_orphans(orders, "o_custkey", _in_credit(spark, sf_dir), ORPHAN_OPERATOR, hot)
-    kept, rejected, _ = part(tagged)
-    return kept.unionByName(rejected, allowMissingColumns=True)
+    return part(tagged).both()
 
 
 @query(FK_SPLIT_SQL)

@@ -239,11 +239,16 @@ def silver_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "parking_capacity", "valid_from", "valid_to")
 
 
+# One row of each city and day.
+WEATHER_SQL = f"""(SELECT * FROM {raw_sql('weather')}
+QUALIFY row_number() OVER (PARTITION BY city_id, date ORDER BY period, tmax_c, tmin_c, wind_kph, precip_mm) = 1)"""
+
+
 @query(f"""
 SELECT city_id, city_id AS city, date, period || '-01' AS period, CAST(tmax_c AS DOUBLE) AS tmax_c,
        CAST(tmin_c AS DOUBLE) AS tmin_c, TRY_CAST(precip_mm AS DOUBLE) AS precip_mm, CAST(NULL AS DOUBLE) AS wind_kph,
        CASE WHEN precip_mm = 'rain' THEN 'Unreadable value' END AS _reject_reason
-FROM {raw_sql('weather')}
+FROM {WEATHER_SQL}
 """)
 def silver_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     parted = silver.weather(raw(spark, sf_dir, "weather"))
@@ -544,7 +549,7 @@ def gold_payment_method(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 SELECT sha256(concat_ws('|', city_id, date)) AS weather_day_sk, city_id, date, CAST(tmax_c AS DOUBLE) AS tmax_c
-FROM {raw_sql('weather')} WHERE precip_mm <> 'rain'
+FROM {WEATHER_SQL} WHERE precip_mm <> 'rain'
 UNION ALL SELECT '-1', NULL, NULL, NULL
 """)
 def gold_weather_day(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,12 +41,13 @@ def bind(table: DataFrame, **values: object) -> DataFrame:
     return table
 
 
-def first_key(files: DataFrame) -> DataFrame:
-    """Name and value of the first folder key of each file."""
+def first_key(files: DataFrame, base: str = "") -> DataFrame:
+    """Name and value of the first folder key of each file, below `base` where it is given."""
     found = r"/([^/=]+)=([^/]+)"
-    return files.select(
-        F.regexp_extract("path", found, 1).alias("key"), F.regexp_extract("path", found, 2).alias("value"), "path"
-    )
+    # Listed paths carry a scheme; the base may not.
+    root = base.rstrip("/").split("://")[-1].removeprefix("file:")
+    below = F.substring(F.col("path"), F.locate(root, F.col("path")) + len(root), F.length("path")) if root else F.col("path")
+    return files.select(F.regexp_extract(below, found, 1).alias("key"), F.regexp_extract(below, found, 2).alias("value"), "path")
 
 
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:

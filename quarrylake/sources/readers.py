@@ -18,6 +18,7 @@ from quarrylake.spec import Source
 
 FILE = "_source_file"
 ATTRIBUTE, OWN_TEXT = "@", "#text"
+CORRUPT = "_corrupt_record"  # where the JSON source puts text it cannot read
 
 Paths = str | Sequence[str]
 
@@ -77,17 +78,22 @@ def read_ndjson(spark: SparkSession, paths: Paths) -> DataFrame:
     return flatten(_with_file(raw.json(_many(paths))))
 
 
-def explode_records(docs: DataFrame, root: str, envelope: bool = False, carry: Sequence[str] = (FILE,)) -> DataFrame:
+def explode_records(docs: DataFrame, root: str, envelope: bool = False, carry: Sequence[str] = (FILE, CORRUPT)) -> DataFrame:
     """One row per element of the array `root`, flattened to text.
 
     With `envelope` the document's other fields are repeated on each row; a
     field of the element wins over one of the same name around it. Columns in
-    `carry` always come along.
+    `carry` always come along. An empty array gives no row; a document without
+    the array, such as one that could not be read, gives one row that holds
+    only what is carried, for the reject rules to find.
     """
-    element = docs.schema[root].dataType.elementType
-    inside = element.names if isinstance(element, T.StructType) else []
-    around = [c for c in docs.columns if c != root and c not in inside and (envelope or c in carry)]
-    rows = docs.select(*[quoted(c) for c in around], F.explode(quoted(root)).alias("_record"))
+    kind = docs.schema[root].dataType if root in docs.columns else None
+    if not isinstance(kind, T.ArrayType) or not isinstance(kind.elementType, T.StructType):
+        kept = docs.where(quoted(root).isNull()) if kind is not None else docs
+        return flatten(kept.select(*[quoted(c) for c in docs.columns if c in carry]))
+    around = [c for c in docs.columns if c != root and c not in kind.elementType.names and (envelope or c in carry)]
+    some = docs.where(quoted(root).isNull() | (F.size(quoted(root)) > 0))
+    rows = some.select(*[quoted(c) for c in around], F.explode_outer(quoted(root)).alias("_record"))
     return flatten(rows.select(*[quoted(c) for c in around], "_record.*"))
 
 

@@ -35,6 +35,14 @@ def write_table(df: DataFrame, path: str, layout: Sequence[str] = (), mode: str
     (writer.partitionBy(*layout) if layout else writer).parquet(path)
 
 
+def replace_table(df: DataFrame, path: str, layout: Sequence[str] = ()) -> None:
+    """Write a table that was computed whole: folders that no longer occur go."""
+    if layout:
+        df = df.hint("rebalance", *layout)
+    writer = df.write.mode("overwrite").option("compression", "snappy").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*layout) if layout else writer).parquet(path)
+
+
 def append_rejects(rejected: DataFrame, path: str) -> None:
     """Add rejects to a quarantine table, laid out by the day they were rejected."""
     write_table(rejected, path, ["reject_date"], mode="append")

@@ -1,13 +1,12 @@
 from datetime import datetime
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from quarrylake.operators import dimensions, quality
 from quarrylake.operators.dedupe import distinct_records, keep_latest, keep_one
 from quarrylake.operators.lookup import add_attributes, keep_members, keep_strangers, mark_members
-from quarrylake.operators.skew import HotKeys, find_hot, join_unique
+from quarrylake.operators.skew import NONE_HOT, find_hot, join_unique
 from quarrylake.plans import gold, silver
 
 
@@ -24,11 +23,18 @@ def keyed_rows(spark):
 def test_find_hot_names_the_key_of_a_third_of_all_rows_and_null(spark):
     df = keyed_rows(spark)
     hot = find_hot(df, ["k"], 50)
-    assert hot.rows == 400 and len(hot.hashes) == 2
-    assert df.where(hot.holds(["k"])).count() == 400
+    assert hot.rows == 400 and hot.keys == 2
+    assert hot.rows_of(df, ["k"]).count() == 400 and hot.others(df, ["k"]).count() == 500
     assert not find_hot(df, ["k"], 1000)
 
 
+def test_no_number_of_hot_keys_is_too_many(spark):
+    df = spark.range(30_000).select((F.col("id") % 6000).alias("k"))
+    hot = find_hot(df, ["k"], 5)
+    assert hot.keys == 6000 and hot.rows == 30_000
+    assert hot.others(df, ["k"]).isEmpty()
+
+
 def test_hot_join_has_the_rows_of_the_plain_one(spark):
     left = keyed_rows(spark)
     right = left.where("id >= 250 AND id <= 700").select("k").distinct().where("k IS NOT NULL").withColumn("v", F.lit(1))
@@ -45,7 +51,7 @@ def test_only_hot_rows_are_broadcast_joined(spark):
         right = left.select("k").where("k IS NOT NULL").distinct().withColumn("v", F.lit(1))
         joined = plan(join_unique(left, right, ["k"], find_hot(left, ["k"], 50)))
         assert "BroadcastHashJoin" in joined and "SortMergeJoin" in joined
-        assert "BroadcastHashJoin" not in plan(join_unique(left, right, ["k"], HotKeys((), 0)))
+        assert "BroadcastHashJoin" not in plan(join_unique(left, right, ["k"], NONE_HOT))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -128,12 +134,22 @@ def test_enumerated_and_junk_members(spark):
     assert len({r.sk for r in junk}) == 5
 
 
-def test_a_junk_dimension_of_no_enumeration_fails(spark):
-    df = spark.range(50).withColumn("x", F.col("id") + 1)
-    with pytest.raises(PySparkException, match="too many combinations"):
-        dimensions.combinations(df, ["id", "x"], most=100).collect()
-    with pytest.raises(PySparkException, match="too many combinations"):
-        dimensions.combinations(df, ["id"], most=10).collect()
+def test_a_junk_dimension_has_no_bound_and_no_single_task(spark):
+    df = spark.range(1100).withColumn("x", F.col("id") + 1)
+    made = dimensions.combinations(df, ["id", "x"])
+    assert made.count() == 1100 * 1100
+    assert "SinglePartition" not in plan(made)
+
+
+def test_rows_without_a_key_are_no_duplicates(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), (None, 2), ("a", 1), ("a", 2)], "k string, v int")
+    assert sorted(map(tuple, keep_one(df, ["k"], nulls_apart=True).collect()), key=str) == [("a", 1), (None, 1), (None, 2)]
+
+
+def test_a_parent_listed_twice_does_not_fan_out(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    twice = spark.createDataFrame([("a", 2), ("a", 1), (None, 3)], "k string, v int")
+    assert sorted(map(tuple, add_attributes(df, "k", twice, ["v"]).collect()), key=str) == [("a", 1), ("b", None), (None, None)]
 
 
 def test_deleted_riders_are_blanked_everywhere(spark):

@@ -124,3 +124,53 @@ def test_a_second_run_finds_nothing_new_and_changes_nothing(spark, lake):
     assert set(run.run_bronze(spark, lake).values()) == {0}
     assert "telemetry" in run.run_silver(spark, lake)
     assert spark.read.parquet(lake.silver("telemetry")).count() == before
+
+
+def test_a_second_delivery_replaces_what_it_corrects(spark, tmp_path):
+    """A ride moves to another day, a reject stays one reject, a deleted rider is blank everywhere."""
+    lake = Lake(str(tmp_path))
+    land(lake)
+    riders = "op,op_ts,rider_id,operator_id,first_name,email,country,account_status,marketing_consent,plan_id,home_city_id\n"
+    put(lake.landing("riders_cdc"), "dt=2026-04-10/a.csv",
+        riders + "I,2026-04-10T08:00:00Z,RD1,OP-9,Anna,anna@x.org,ESP,active,true,P,C-M\nI,2026-04-10T08:00:00Z,RD2,OP-1,Berta,berta@x.org,ESP,active,true,P,C-M\n")
+    run.run(spark, lake)
+    first = sorted(map(str, spark.read.parquet(lake.quarantine("rides")).collect()))
+    run.run(spark, lake)
+    assert sorted(map(str, spark.read.parquet(lake.quarantine("rides")).collect())) == first
+    assert "Anna" in {r.first_name for r in spark.read.parquet(lake.quarantine("riders_cdc")).collect()}
+    moved = RIDES.splitlines()[0] + "\n" + RIDES.splitlines()[2].replace("2026-04-10 10", "2026-04-12 10").replace("2026-04-11T23", "2026-04-13T23") + "\n"
+    put(lake.landing("rides"), "dt=2026-04-12/rides_C-G_2026-04-12.csv", moved)
+    put(lake.landing("riders_cdc"), "dt=2026-04-11/a.csv",
+        riders + "D,2026-04-11T08:00:00Z,RD1,OP-9,Anna,anna@x.org,ESP,active,true,P,C-M\nD,2026-04-11T08:00:00Z,RD2,OP-1,Berta,berta@x.org,ESP,active,true,P,C-M\n")
+    run.run(spark, lake)
+    rides = spark.read.parquet(lake.silver("rides"))
+    assert rides.count() == rides.select("ride_id").distinct().count()
+    assert [str(r.ride_date) for r in rides.where("ride_id = 'R1'").collect()] == ["2026-04-12"]
+    assert len(spark.read.parquet(lake.quarantine("rides")).collect()) == len(first)
+    for path in (lake.silver("riders_cdc"), lake.quarantine("riders_cdc"), lake.gold("dim_riders")):
+        text = str(spark.read.parquet(path).collect())
+        assert "Anna" not in text and "anna@" not in text and "Berta" not in text and "berta@" not in text
+
+
+def test_nothing_unreadable_is_lost(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    land(lake)
+    put(lake.landing("telemetry"), "city=C-M/dt=2026-07-26/hour=00/bad.json", '{"event_id": "e9", "vehicle_id": "V1", "ts": "1784936157000"}\n{"event_id": \nnot json\n')
+    put(lake.landing("payments"), "dt=2026-04-11/truncated.json", '{"records": [{"payment_id": "P7", ')
+    put(lake.landing("payments"), "dt=2026-04-12/empty.json", '{"records": []}')
+    files = run.run(spark, lake)["files"]
+    assert files["payments"] == 3 and files["telemetry"] == 3
+    lost = spark.read.parquet(lake.quarantine("telemetry")).where("_reject_reason = 'Missing key'")
+    assert lost.count() == 2 and lost.where("_source_file LIKE '%bad.json'").count() == 2
+    lost = spark.read.parquet(lake.quarantine("payments")).where("_reject_reason = 'Missing key'")
+    assert [r._source_file.split("/")[-1] for r in lost.collect()] == ["truncated.json"]
+    assert run.run_bronze(spark, lake)["payments"] == 0
+
+
+def test_a_source_of_empty_documents_only_loads_no_rows(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    put(lake.landing("payments"), "dt=2026-04-12/empty.json", '{"records": []}')
+    from quarrylake.plans import bronze
+
+    assert bronze.load_new(spark, lake, "payments") == 1
+    assert bronze.load_new(spark, lake, "payments") == 0
