@@ -10,8 +10,8 @@
 2. Documents with equal shingle sets are one class, and only classes go on.
 3. In each bucket every class is paired with one centre, the member that meets
    most others over all buckets: pairs grow with bucket sizes, not their squares.
-   What a centre refuses is dealt to a new centre among the refused, until a
-   bucket has nobody left; pairs already in one component are not tested again.
+   Buckets that still hold several components get further centres, one of each
+   component, until a round finds no link; pairs in one component are not tested.
 4. Candidate pairs are confirmed on full shingle sets, and components follow by
    repeated minima over confirmed links.
 
@@ -254,43 +254,52 @@ def star_pairs(rows: DataFrame, labels: DataFrame, used: DataFrame | None, teste
     return stored(pairs, "neardup-pairs"), centres.select("key", F.col("a").alias("node"))
 
 
-def link_classes(docs: DataFrame, sig: DataFrame, classes: DataFrame, buckets: DataFrame, rounds: int) -> DataFrame:
+def merged_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after more links: only the labels that the links touch are worked on."""
+    end = lambda name: labels.select(F.col("node").alias(name), F.col("label").alias(f"label_{name}"))
+    over = links.join(end("a"), "a").join(end("b"), "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+    over = stored(over.distinct(), "neardup-merges")
+    ends = over.select(F.col("a").alias("node")).unionByName(over.select(F.col("b").alias("node"))).distinct()
+    after = components(ends, over).select(F.col("node").alias("label"), F.col("label").alias("lower"))
+    return stored(labels.join(after, "label", "left").select("node", F.coalesce("lower", "label").alias("label")), "neardup-labels")
+
+
+def link_classes(docs: DataFrame, sig: DataFrame, classes: DataFrame, buckets: DataFrame) -> DataFrame:
     """(node, label) over all classes that share a bucket, and nothing for the others.
 
     A first round joins every class to its heaviest centre, which settles most of a
     group of near copies with one pair a member; later rounds only see buckets that
-    still hold several components.
+    still hold several components, and go on until one of them finds no link.
     """
     weights = buckets.groupBy("node").agg(F.sum("size").alias("weight"))
     members = stored(standing(sig, classes.join(weights, "node")).select("node", "weight", "n", "bits", "doc_id", "text_hash").dropDuplicates(["node"]), "neardup-members")
     rows = stored(buckets.select("key", "node").join(members.select("node", "weight", "n"), "node"), "neardup-rows")
     sets = sets_of(docs, members)
     release(docs.sparkSession)
-    nodes = members.select("node")
-    labels, links, used, tested = nodes.select("node", F.col("node").alias("label")), None, None, None
-    for number in range(rounds + 1):
-        pairs, centres = star_pairs(rows, labels, used, tested, nearest=number == 0)
+    labels, used, tested, nearest = members.select("node", F.col("node").alias("label")), None, None, True
+    while True:
+        pairs, centres = star_pairs(rows, labels, used, tested, nearest)
         tested = pairs if tested is None else tested.unionByName(pairs)
-        if number:
-            used = centres if used is None else used.unionByName(centres)
         found = stored(confirmed(stored(possible(pairs, members), "neardup-possible"), sets), "neardup-links")
-        if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            labels = components(nodes, links)
-        elif number and pairs.isEmpty():
-            break
+        some = not found.isEmpty()
+        if some:
+            labels = merged_labels(labels, found)
+        elif not nearest:
+            return labels
+        if not nearest:
+            used = centres if used is None else used.unionByName(centres)
+        nearest = False
         release(docs.sparkSession)
-    return labels
 
 
-def near_duplicates(docs: DataFrame, rounds: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row of `docs`: doc_id, text_hash, n_shingles, component_id (least doc_id
     reachable over links) and kept (doc_id equals component_id)."""
     sig = stored(signatures(docs), "neardup-signatures")
     classes = classes_of(sig)
     buckets = crowded_buckets(sig, classes)
     release(docs.sparkSession)
-    labels = link_classes(docs, sig, classes, buckets, rounds)
+    labels = link_classes(docs, sig, classes, buckets)
     joined = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = joined.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     ends = stored(joined.join(least, "label").select("set_a", "set_b", "component_id"), "neardup-components")
@@ -299,9 +308,9 @@ def near_duplicates(docs: DataFrame, rounds: int = 3) -> DataFrame:
     return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One row of each component, columns unchanged; every row without words stays."""
-    judged = near_duplicates(docs, **options)
+    judged = near_duplicates(docs)
     keys = judged.filter("kept and n_shingles > 0").groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
     kept = stored(keys.agg(F.count(F.lit(1)).alias("__copies")), "neardup-kept")
     release(docs.sparkSession)
