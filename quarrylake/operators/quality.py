@@ -55,6 +55,18 @@ def tag(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.withColumn(REASON, F.coalesce(*earlier, *reasons, F.lit(None).cast("string")))
 
 
+APART = "_apart"
+
+
+def rejects_apart(tagged: DataFrame) -> DataFrame:
+    """Add a column that is null on good rows and a number of its own on every reject.
+
+    As one more key of a duplicate rule it keeps all rejects, so that good rows are
+    thinned out inside the one plan that holds both sides.
+    """
+    return tagged.withColumn(APART, F.when(F.col(REASON).isNotNull(), F.monotonically_increasing_id()))
+
+
 def part(tagged: DataFrame) -> Parted:
     """Every row lands on exactly one side."""
     kept = tagged.where(F.col(REASON).isNull()).drop(REASON, RAW, UNREAD)

@@ -16,8 +16,8 @@ from quarrylake.functions.columns import blank_where, cast_columns, with_declare
 from quarrylake.operators.dedupe import PROVENANCE, distinct_records, keep_latest, keep_one
 from quarrylake.operators.lookup import add_attributes, mark_members
 from quarrylake.operators.quality import (
-    NO_TIMES, ORPHAN_OPERATOR, ORPHAN_RIDE, RAW, REASON, REVERSED_TIMES, UNKNOWN_COUNTRY,
-    UNREADABLE, Parted, Rule, part, tag, tag_keyless, tag_orphans, tag_unreadable,
+    APART, NO_TIMES, ORPHAN_OPERATOR, ORPHAN_RIDE, RAW, REASON, REVERSED_TIMES, UNKNOWN_COUNTRY,
+    UNREADABLE, Parted, Rule, part, rejects_apart, tag, tag_keyless, tag_orphans, tag_unreadable,
 )
 from quarrylake.operators.skew import HOT_ROWS, HotKeys, find_hot
 from quarrylake.spec import LENIENT, TYPES
@@ -56,10 +56,14 @@ def zones(raw: DataFrame) -> Parted:
 
 
 def redact_deleted(
-    df: DataFrame, entity: str, op: str, keep: tuple[str, ...], hot: HotKeys | None = None
+    df: DataFrame, entity: str, op: str, keep: tuple[str, ...], hot: HotKeys | None = None,
+    log: DataFrame | None = None,
 ) -> DataFrame:
-    """Blank every row of an entity that was ever deleted, but for the columns in `keep`."""
-    gone = df.where(F.col(op) == "D").select(entity)
+    """Blank every row of an entity that was ever deleted, but for the columns in `keep`.
+
+    The deletes are read from `log`, if given: the stored table that `df` was made from.
+    """
+    gone = (df if log is None else log).where(F.col(op) == "D").select(entity)
     marked = mark_members(df, entity, gone, "_gone", hot=hot)
     return blank_where(marked, F.col("_gone"), [*keep, "_gone"])
 
@@ -68,21 +72,23 @@ def riders(raw: DataFrame, known_operators: DataFrame, hot_rows: int = HOT_ROWS)
     tagged = tag_orphans(raw, "operator_id", known_operators, ORPHAN_OPERATOR)
     clean = tag_country(typed(tagged, "riders_cdc"))
     clean = redact_deleted(clean, "rider_id", "op", ("rider_id", "email", "op", "op_ts", REASON),
-                           find_hot(raw, ["rider_id"], hot_rows))
+                           find_hot(raw, ["rider_id"], hot_rows), log=raw)
     clean = clean.withColumns(
         {
             "email": F.when(F.col("_gone"), text.REDACTED).otherwise(text.email_address(F.col("email"))),
             "is_active": text.is_value(F.col("account_status"), "active"),
+            "riders_event_date": F.when(F.col(REASON).isNotNull(), F.col("op_ts")),
         }
     ).drop("_gone")
-    kept, rejected, _ = part(clean)
-    return Parted(distinct_records(kept, ignore=(*PROVENANCE, "dt")), rejected)
+    once = distinct_records(rejects_apart(clean), ignore=(*PROVENANCE, "dt")).drop(APART)
+    parted = part(once)
+    return parted._replace(kept=parted.kept.drop("riders_event_date"))
 
 
 def vehicles(raw: DataFrame, known_operators: DataFrame) -> Parted:
     tagged = tag_orphans(raw, "operator_id", known_operators, ORPHAN_OPERATOR)
-    kept, rejected, _ = part(typed(tagged, "vehicles"))
-    return Parted(keep_one(kept, ["vehicle_id", "snapshot_date"]), rejected)
+    clean = rejects_apart(typed(tagged, "vehicles"))
+    return part(keep_one(clean, ["vehicle_id", "snapshot_date", APART]).drop(APART))
 
 
 def maintenance(raw: DataFrame) -> Parted:

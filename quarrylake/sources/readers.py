@@ -116,22 +116,24 @@ def _xml_columns(df: DataFrame) -> DataFrame:
     children: dict = {}
     for item in df.schema.fields:
         name, value, kind = item.name, quoted(item.name), item.dataType
-        if isinstance(kind, T.ArrayType):
-            value, kind = F.try_element_at(value, F.lit(-1)), kind.elementType
+        many = isinstance(kind, T.ArrayType)
+        kind = kind.elementType if many else kind
+        last = F.try_element_at(value, F.lit(-1)) if many else value
         if name.startswith(ATTRIBUTE):
-            attributes[name.removeprefix(ATTRIBUTE)] = value
+            attributes[name.removeprefix(ATTRIBUTE)] = last
         elif not isinstance(kind, T.StructType):
-            children[name] = value
+            children[name] = last
         else:
-            children[name] = value.getField(OWN_TEXT) if OWN_TEXT in kind.names else F.lit(None)
+            children[name] = last.getField(OWN_TEXT) if OWN_TEXT in kind.names else F.lit(None)
             for part in kind.names:
                 if part.startswith(ATTRIBUTE):
-                    children[f"{name}_{part.removeprefix(ATTRIBUTE)}"] = value.getField(part)
+                    given = F.array_compact(value.getField(part)) if many else None
+                    children[f"{name}_{part.removeprefix(ATTRIBUTE)}"] = F.try_element_at(given, F.lit(-1)) if many else value.getField(part)
     return df.select(*[c.cast("string").alias(n) for n, c in {**attributes, **children}.items()])
 
 
 def read_xml(spark: SparkSession, paths: Paths, row_tag: str) -> DataFrame:
-    """One row per `row_tag` element. Of a repeated child the last one counts."""
+    """One row per `row_tag` element. Of a repeated child the last text counts, and the last of each attribute."""
     reader = (
         spark.read.format("xml")
         .option("rowTag", row_tag)

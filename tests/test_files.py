@@ -218,3 +218,17 @@ def test_a_cluster_without_a_shared_folder_is_refused():
         scratch_path(Session, "x")
     Session.sparkContext.master = "local[2]"
     assert scratch_path(Session, "x") != scratch_path(Session, "x")
+
+
+def test_attributes_of_an_earlier_repeated_child_stay(spark, tmp_path):
+    put(tmp_path, "a.xml", '<all><e><part n="1">a</part><part>b</part></e><e><part>c</part><part n="2" m="x">d</part></e></all>')
+    df = readers.read_xml(spark, str(tmp_path), "e")
+    assert rows(df, "part", "part_n", "part_m") == [("b", "1", None), ("d", "2", "x")]
+
+
+def test_folder_keys_above_the_base_are_not_taken(spark, tmp_path):
+    base = tmp_path / "dt=2020-01-01" / "env=prod" / "landing"
+    put(base, "dt=2026-01-01/a.txt", "x")
+    found = files.list_files(spark, str(base))
+    assert rows(files.first_key(found, str(base)), "key", "value") == [("dt", "2026-01-01")]
+    assert [r.dt for r in files.with_path_keys(found, ["dt"]).collect()] == ["2026-01-01"]
