@@ -119,7 +119,10 @@ def repeated_paths(scan: DataFrame) -> DataFrame:
     document of the minimizer, and whether all its paths are equal."""
     rows = scan.select(*KEY, F.explode("paths").alias("p")).select(*KEY, "p.m", "p.s", "p.at")
     groups = rows.groupBy("m").agg(F.min(order_of()).alias("least"), F.max(order_of()).alias("most"), F.min("s").alias("lo"), F.max("s").alias("hi"))
-    repeated = groups.filter("least < most").select("m", "least", (F.col("lo") == F.col("hi")).alias("uniform"))
+    # Stored, so that the join below is one of two plain shuffles, which Spark splits where a
+    # minimizer is hot, and so that the shuffle of the counts is gone by then.
+    repeated = stored(groups.filter("least < most").select("m", "least", (F.col("lo") == F.col("hi")).alias("uniform")), "substrings-minimizers")
+    release(scan.sparkSession)
     found = rows.select(*KEY, "m", "at").join(repeated, "m")
     # Equal paths only matter where a smaller document has them.
     return stored(found.filter(~F.col("uniform") | (F.col("least") < order_of())), "substrings-paths")
@@ -156,7 +159,9 @@ def covered_spans(paths: DataFrame, edges: DataFrame) -> DataFrame:
     first = F.floor(F.col("at") / SIXTEEN).cast("long")
     compact = paths.filter("uniform").select(*KEY, first.alias("first"), (first + F.col("at") % SIXTEEN - 1).alias("last"))
     sources = edges.groupBy("m", "w").agg(F.min(order_of()).alias("least"), F.max(order_of()).alias("most")).filter("least < most")
-    single = edges.join(sources.select("m", "w", "least"), ["m", "w"]).filter(F.col("least") < order_of())
+    sources = stored(sources.select("m", "w", "least"), "substrings-sources")
+    release(edges.sparkSession)
+    single = edges.join(sources, ["m", "w"]).filter(F.col("least") < order_of())
     pieces = compact.unionByName(single.select(*KEY, F.col("at").alias("first"), F.col("at").alias("last"))).distinct()
     return stored(pieces.groupBy(*KEY).agg(F.collect_list(F.struct("first", "last")).alias("pieces")), "substrings-spans")
 
