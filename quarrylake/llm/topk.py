@@ -119,7 +119,8 @@ class Shard:
         unread = np.full(len(query), LEVELS)  # levels of each dimension still to read
         sums = np.full(n, base, dtype=np.int64)
         alive = np.arange(n)
-        for part in np.array_split(np.arange(len(dims)), CHECKS):
+        # A shard that has no more rows than may be left to score needs no reading.
+        for part in np.array_split(np.arange(len(dims)), CHECKS) if n > max(ENOUGH, 4 * k) else ():
             for d, level in zip(dims[part].tolist(), levels[part].tolist(), strict=True):
                 unread[d] = level
                 if weight[d] and level:
