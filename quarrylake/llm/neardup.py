@@ -12,6 +12,8 @@
    most others over all buckets: pairs grow with bucket sizes, not their squares.
    Buckets that still hold several components get further centres, one of each
    component, until a round finds no link; pairs in one component are not tested.
+   An exact prefix join then finds the links left between members of such buckets
+   that were no centres: of two linked sets, ordered by rarity, the first shingles meet.
 4. Candidate pairs are confirmed on full shingle sets, and components follow by
    repeated minima over confirmed links.
 
@@ -43,6 +45,8 @@ ATTEMPTS = 64  # donors tried for an empty bin before the nearest full one is ta
 # Below this many shingles a set's least hashes are its keys.
 FEW = 64
 
+COUNTS = 1 << 18  # counters that rank shingles by rarity; several may share one
+
 BITS = 2048  # size of the bitmap that bounds an intersection from above
 
 SIGNATURE = "doc_id bigint, text_hash bigint, n_shingles bigint, set_a bigint, set_b bigint, keys array<bigint>, bits array<bigint>"
@@ -50,6 +54,8 @@ SIGNATURE_ARROW = pa.schema([
     ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()),
     ("set_a", pa.int64()), ("set_b", pa.int64()), ("keys", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64())),
 ])
+PREFIX = "shingle bigint, node bigint, label bigint, n int, at int"
+PREFIX_ARROW = pa.schema([("shingle", pa.int64()), ("node", pa.int64()), ("label", pa.int64()), ("n", pa.int32()), ("at", pa.int32())])
 SETS_ARROW = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
 
@@ -223,6 +229,13 @@ def sets_of(docs: DataFrame, members: DataFrame) -> DataFrame:
     return stored(shingle_sets(with_text_hash(docs).join(named, same)), "neardup-sets")
 
 
+def open_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows, with labels, of the buckets that hold several components."""
+    placed = rows.join(labels, "node")
+    open_keys = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
+    return placed.join(open_keys, "key")
+
+
 def star_pairs(rows: DataFrame, labels: DataFrame, used: DataFrame | None, tested: DataFrame | None, nearest: bool) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) of one round, and the centres (key, node) it used.
 
@@ -232,9 +245,7 @@ def star_pairs(rows: DataFrame, labels: DataFrame, used: DataFrame | None, teste
     sizes allow a link. With `nearest` a member only meets its heaviest centre.
     Pairs of earlier rounds are left out.
     """
-    placed = rows.join(labels, "node")
-    open_keys = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
-    placed = stored(placed.join(open_keys, "key"), "neardup-open")
+    placed = stored(open_rows(rows, labels), "neardup-open")
     free = placed
     if used is not None:
         taken = used.join(labels, "node").select("key", "label").distinct()
@@ -254,6 +265,66 @@ def star_pairs(rows: DataFrame, labels: DataFrame, used: DataFrame | None, teste
     return stored(pairs, "neardup-pairs"), centres.select("key", F.col("a").alias("node"))
 
 
+def prefixes(sets: DataFrame) -> DataFrame:
+    """The shingles of (node, label, shingles) of which two linked sets share one.
+
+    Shingles stand by rarity, the same order in every set, and `at` is the place. A
+    counter per hash stands for rarity: any order keeps all links, rare ones first
+    only keep the join small.
+    """
+    spark = sets.sparkSession
+    slot = F.col("shingle").bitwiseAND(F.lit(COUNTS - 1)).alias("slot")
+    held = sets.select(F.explode("shingles").alias("shingle")).groupBy(slot).agg(F.count(F.lit(1)).alias("times")).toArrow()
+    counts = np.zeros(COUNTS, dtype=np.int64)
+    counts[held.column("slot").to_numpy()] = held.column("times").to_numpy()
+    rarity = spark.sparkContext.broadcast(counts)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        times = rarity.value
+        for rows in batches:
+            first, sizes, places = [], [], []
+            for values in rows.column("shingles"):
+                own = values.values.to_numpy()
+                n = len(own)
+                most = n - -(-PERCENT * n // 100) + 1
+                first.append(own[np.lexsort((own, times[own & (COUNTS - 1)]))[:most]])
+                sizes.append(np.full(most, n, dtype=np.int32))
+                places.append(np.arange(most, dtype=np.int32))
+            if first:
+                lengths = [len(x) for x in first]
+                node, label = (np.repeat(rows.column(c).to_numpy(), lengths) for c in ("node", "label"))
+                yield batch(PREFIX_ARROW, {"shingle": np.concatenate(first), "node": node, "label": label, "n": np.concatenate(sizes), "at": np.concatenate(places)})
+
+    return sets.select("node", "label", "shingles").mapInArrow(each, PREFIX)
+
+
+def rest_pairs(rows: DataFrame, labels: DataFrame, sets: DataFrame, tested: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components, among the members of buckets that hold
+    several, that hold every link and leave out the tested pairs.
+
+    The first shingle common to two linked sets stands early enough in both for
+    what follows it to reach the threshold, and of the smaller set even for a
+    partner of its own size. Members of one component at the same place meet the
+    others as one row, so a large component is not joined with itself.
+    """
+    members = open_rows(rows, labels).select("node", "label").distinct()
+    first = stored(prefixes(sets.join(members, "node")), "neardup-prefixes")
+    early = (100 + PERCENT) * (F.col("n") - F.col("at")) >= 2 * PERCENT * F.col("n")
+    spread = first.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max(early).alias("early"))
+    first = stored(first.join(spread.filter("lo < hi and early").select("shingle"), "shingle"), "neardup-crossing")
+    place = ["shingle", "label", "n", "at"]
+    end = lambda df, name: df.withColumnsRenamed({c: f"{c}_{name}" for c in ("node", "label", "n", "at")})
+    large, small = end(first, "a"), end(first.filter(early), "b")
+    places = end(first.select(place).distinct(), "a").join(end(first.filter(early).select(place).distinct(), "b"), "shingle")
+    after = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    reach = (100 + PERCENT) * after >= PERCENT * (F.col("n_a") + F.col("n_b"))
+    meeting = places.filter((F.col("label_a") != F.col("label_b")) & (F.col("n_b") <= F.col("n_a")) & reach)
+    met = meeting.join(large, ["shingle", "label_a", "n_a", "at_a"]).join(small, ["shingle", "label_b", "n_b", "at_b"])
+    pairs = met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+    known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return stored(pairs.join(known, ["a", "b"], "left_anti"), "neardup-pairs")
+
+
 def merged_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels after more links: only the labels that the links touch are worked on."""
     end = lambda name: labels.select(F.col("node").alias(name), F.col("label").alias(f"label_{name}"))
@@ -269,7 +340,8 @@ def link_classes(docs: DataFrame, sig: DataFrame, classes: DataFrame, buckets: D
 
     A first round joins every class to its heaviest centre, which settles most of a
     group of near copies with one pair a member; later rounds only see buckets that
-    still hold several components, and go on until one of them finds no link.
+    still hold several components, and go on until one of them finds no link. Only
+    centres were tested till then; the last step finds what is left exactly.
     """
     weights = buckets.groupBy("node").agg(F.sum("size").alias("weight"))
     members = stored(standing(sig, classes.join(weights, "node")).select("node", "weight", "n", "bits", "doc_id", "text_hash").dropDuplicates(["node"]), "neardup-members")
@@ -285,11 +357,15 @@ def link_classes(docs: DataFrame, sig: DataFrame, classes: DataFrame, buckets: D
         if some:
             labels = merged_labels(labels, found)
         elif not nearest:
-            return labels
+            break
         if not nearest:
             used = centres if used is None else used.unionByName(centres)
         nearest = False
         release(docs.sparkSession)
+    release(docs.sparkSession)
+    rest = rest_pairs(rows, labels, sets, tested)
+    found = stored(confirmed(stored(possible(rest, members), "neardup-possible"), sets), "neardup-links")
+    return labels if found.isEmpty() else merged_labels(labels, found)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

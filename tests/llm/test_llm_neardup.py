@@ -73,6 +73,21 @@ def test_sets_at_the_threshold_share_a_key():
                 assert np.intersect1d(neardup.bucket_keys(a, donor), neardup.bucket_keys(b, donor)).size, size
 
 
+def test_links_between_members_that_are_no_centres(spark):
+    """A family of pairwise similarity 0.70, in which 20 pairs at 0.757 are planted."""
+    places = range(7, 400, 28)[:14]
+    rows = []
+    for i in range(400):
+        rows.append([f"t{w}" for w in range(400)])
+        for k, place in enumerate(places):
+            rows[i][place] = f"v{i - 1 if i < 40 and i % 2 and k < 3 else i}x{k}"
+    rows = [(i, " ".join(own)) for i, own in enumerate(rows)]
+    want = near_components(rows)
+    assert sum(want[i] != i for i in want) == 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert {r.doc_id: r.component_id for r in neardup.near_duplicates(docs).collect()} == want
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark)
     got = neardup.near_duplicates(docs).collect()
