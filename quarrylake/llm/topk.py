@@ -112,6 +112,7 @@ class Shard:
     def best(self, query_id: int, query: np.ndarray, k: int, floor: int | None) -> list[tuple[int, int]]:
         """(score, id) of every row that may be among the k best and reaches `floor`, k at most."""
         n = len(self.ids)
+        others = np.flatnonzero(self.ids != query_id)  # the query's own rows, however many, prove nothing
         weight = np.abs(query)
         base = int(np.where(query > 0, query * self.low, query * self.high).sum())
         slack = int((weight * (self.step - 1)).sum())
@@ -129,11 +130,12 @@ class Shard:
             # An unread dimension adds less than its next unread level's upper end.
             more = int((weight * np.where(unread > 0, unread * self.step - 1, 0)).sum())
             least = floor if floor is not None else None
-            if n > k:
-                own = int(np.partition(sums, n - k - 1)[n - k - 1])  # the own row may be among the best
-                least = own if least is None else max(least, own)
+            rest = sums[others]
+            if len(rest) >= k:
+                kth = int(np.partition(rest, len(rest) - k)[len(rest) - k])
+                least = kth if least is None else max(least, kth)
             if least is not None:
-                alive = np.flatnonzero(sums + slack + more >= least)
+                alive = others[rest + slack + more >= least]
                 if len(alive) <= max(ENOUGH, 4 * k):
                     break
         scores = self.vectors[alive] @ query

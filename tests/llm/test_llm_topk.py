@@ -64,5 +64,19 @@ def test_a_proof_ends_reading_before_the_last_segment():
     assert max(read) < 1000
 
 
+def test_an_id_repeated_more_often_than_k_leaves_the_others_whole():
+    draw = np.random.default_rng(6)
+    values = (draw.normal(size=(4000, 64)) * 300).astype(np.int64)
+    for copies in (12, 1300):
+        for q in range(20):
+            ids, rows = np.arange(4000), values.copy()
+            ids[:copies], rows[:copies] = 0, values[q]
+            order = np.ascontiguousarray(np.argsort(-rows, axis=0, kind="stable").astype(np.uint16).T)
+            shard = topk.Shard(64, ids.tobytes(), rows.tobytes(), order.tobytes())
+            scores = rows @ values[q]
+            every = sorted((-int(scores[c]), c) for c in range(copies, 4000))[:10]
+            assert shard.best(0, values[q], 10, None) == [(-s, c) for s, c in every]
+
+
 def test_an_empty_table(spark):
     assert search(spark, [], 10, 4) == set()
