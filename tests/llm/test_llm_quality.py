@@ -74,6 +74,24 @@ def test_distances_are_those_of_the_plain_estimate(spark):
     assert not any(got[i].kept for i in range(120, 132) if i in want)
 
 
+def test_every_coordinate_rejects_alone(spark):
+    clean = [" ".join(f"word{i}x{j}" for j in range(60)) for i in range(100)]
+    fresh = lambda n, name: [f"word{name}{j}" for j in range(n)]
+    odd = {
+        "length": " ".join(w * 4 for w in fresh(60, "longer")),
+        "symbols": " ".join(w + "#$%" for w in fresh(60, "s")),
+        "upper": " ".join(w.upper() for w in fresh(60, "u")),
+        "lines": "\n".join(f"word{j}xab word{j}xbc word{j}xcd\nwordread wordmore" for j in range(30)),
+        "repeats": " ".join(fresh(9, "r") + fresh(82, "q") + fresh(9, "r")),
+    }
+    texts = clean + list(odd.values())
+    docs = spark.createDataFrame([(i, "en", "s", t) for i, t in enumerate(texts)], "doc_id long, lang string, source string, text string").repartition(4)
+    got = {r.doc_id: r for r in quality.quality_verdicts(docs).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert all(got[i].kept for i in range(100))
+    assert not [name for i, name in enumerate(odd, 100) if got[i].kept]
+
+
 def test_small_groups_fall_back_and_reject_nothing(spark):
     docs = odd_documents(spark)
     got = quality.quality_verdicts(docs)
