@@ -8,9 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylake.llm import classifier, licenses, mixing, neardup, packing, pii, quality, substrings, topk, warc
+from quarrylake.llm import (
+    centroids, classifier, licenses, mixing, neardup, ngramjoin, packing, periodic, pii, quality, substrings, topk, warc,
+)
 from quarrylake.llm.common import stored, table
-from quarrylake.llm.sql import archive_sql, license_sql, mixing_sql, top_k_sql
+from quarrylake.llm.sql import (
+    archive_sql, components_sql, kmeans_sql, license_sql, mixing_sql, periodic_sql, repeats_sql, top_k_sql,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -106,9 +110,55 @@ def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+SQL["op9_minhash_neardup"] = components_sql(neardup.SHINGLE, neardup.PERCENT, kept=True)
+
+
 @query
 def op10_compacted_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in windows held by a smaller document."""
     found = substrings.repeated_spans(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
     return found.select("doc_id", "n_words", removed.alias("n_removed"), "kept_sha256")
+
+
+SQL["op10_compacted_repeats"] = repeats_sql(substrings.WINDOW)
+
+CLUSTERS, ROUNDS, SEED, DIMS = 8, 10, 3, 64
+
+
+@query
+def op11_mean_variance_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, squared distance and inertia of every vector after ten rounds."""
+    vectors = centroids.whole_vectors(table(spark, sf_dir, "embeddings"), DIMS)
+    return centroids.clustered(vectors, centroids.fit(vectors, CLUSTERS, ROUNDS, SEED)).drop("centroid")
+
+
+SQL["op11_mean_variance_kmeans"] = kmeans_sql(CLUSTERS, ROUNDS, SEED, DIMS)
+
+
+@query
+def op12_combination_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document over links of three-word shingle sets."""
+    return ngramjoin.ngram_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+SQL["op12_combination_join"] = components_sql(ngramjoin.SHINGLE, ngramjoin.PERCENT, kept=False)
+
+PLANTED = 10  # one document in so many is made periodic
+
+
+@query
+def op13_lyndon_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, some made periodic first, and the text they leave."""
+    found = periodic.periodic_runs(periodic.with_planted_periods(table(spark, sf_dir, "documents"), PLANTED))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    best = periodic.strongest(F.col("runs"))
+    return found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"), "runs", "collapsed").select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+SQL["op13_lyndon_runs"] = periodic_sql(periodic.TIMES, periodic.LEAST, PLANTED)

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from quarrylake.llm import mixing
 
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
 
 def mixing_sql(share: float, epochs: int, weights=mixing.WEIGHTS, seed: int = 17) -> str:
     """Water-filling level by level, then a running sum over each leaf's last epoch."""
@@ -99,3 +102,82 @@ SELECT doc_id, n_words, len(starts)::BIGINT AS n_base, list_min(starts)::BIGINT
   coalesce(share, CASE WHEN len(starts) > 0 THEN 0.5 ELSE 0.0 END)::DOUBLE AS score
 FROM based LEFT JOIN found USING (id)
 """
+
+
+def kmeans_sql(k: int, rounds: int, seed: int, dims: int) -> str:
+    """One step of common table expressions per round, every vector against every centroid."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+d{r} AS (SELECT v.row, c.cluster, list_sum([((v.v[i] - c.v[i]) * (v.v[i] - c.v[i]))::HUGEINT FOR i IN range(1, {dims + 1})])::BIGINT AS distance FROM kept v, c{r} c),
+a{r} AS MATERIALIZED (SELECT row, cluster, distance FROM d{r} QUALIFY row_number() OVER (PARTITION BY row ORDER BY distance, cluster) = 1)""")
+        if r < rounds:
+            steps.append(f"""
+t{r} AS (SELECT cluster, i, sum(x)::HUGEINT AS s, count(*) AS n FROM (SELECT cluster, unnest(range({dims})) AS i, unnest(v) AS x FROM a{r} JOIN kept USING (row)) GROUP BY ALL),
+m{r} AS (SELECT cluster, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM t{r} GROUP BY cluster),
+c{r + 1} AS MATERIALIZED (SELECT cluster, coalesce(m.v, c.v) AS v FROM c{r} c LEFT JOIN m{r} m USING (cluster))""")
+    return f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = {dims} AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+c0 AS (SELECT (row_number() OVER (ORDER BY sha256('{seed}:' || vec_id), v) - 1)::INT AS cluster, v FROM kept QUALIFY cluster < {k}),
+{",".join(steps)}
+SELECT vec_id, a.cluster, a.distance, sum(a.distance) OVER (PARTITION BY a.cluster)::BIGINT AS cluster_inertia, sum(a.distance) OVER ()::BIGINT AS inertia,
+  sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN kept USING (row) JOIN c{rounds} c ON a.cluster = c.cluster
+"""
+
+
+def components_sql(size: int, percent: int, kept: bool) -> str:
+    """Every pair of documents that share a shingle, then everything reachable from each document."""
+    return f"""
+WITH RECURSIVE docs AS (SELECT doc_id, {WORDS.format(LOWER.format("coalesce(text, '')"))} AS w FROM documents),
+held AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {size} THEN [array_to_string(w, ' ')]
+  ELSE [array_to_string(w[i:i + {size - 1}], ' ') FOR i IN range(1, len(w) - {size - 2})] END) AS shingle FROM docs),
+sized AS (SELECT doc_id, count(*) AS n FROM held GROUP BY doc_id),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM held a JOIN held b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (SELECT a, b FROM met JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b WHERE 100 * common >= {percent} * (x.n + y.n - common)),
+reached AS (SELECT doc_id, doc_id AS other FROM docs UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other),
+least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id{", doc_id = component_id AS kept" if kept else ""} FROM least LEFT JOIN sized USING (doc_id)
+"""
+
+
+def repeats_sql(size: int) -> str:
+    """Every window with the least document that holds it, then the words under the repeated ones."""
+    return f"""
+WITH docs AS (SELECT doc_id, {WORDS.format("coalesce(text, '')")} AS w FROM documents),
+places AS (SELECT doc_id, i, array_to_string(w[i:i + {size - 1}], ' ') AS words FROM (SELECT doc_id, w, unnest(range(1, len(w) - {size - 2})) AS i FROM docs)),
+sources AS (SELECT words, min(doc_id) AS least FROM places GROUP BY words HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + {size})) AS i FROM places JOIN sources USING (words) WHERE least < doc_id),
+cut AS (SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id),
+left_over AS (SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
+  CASE WHEN gone IS NULL THEN w ELSE (SELECT coalesce(list(x ORDER BY j), []) FROM (SELECT unnest(w) AS x, unnest(range(1, len(w) + 1)) AS j) WHERE NOT list_contains(gone, j)) END AS kept
+  FROM docs LEFT JOIN cut USING (doc_id))
+SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM left_over
+"""
+
+
+def periodic_sql(times: int, least: int, every: int) -> str:
+    """Equal words q apart, islands of neighbours of one q, and those that no shorter period covers."""
+    bit = "list_reduce(list_concat([xor(c, b)], range(8)), lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))"
+    crc = f"xor(list_reduce(list_concat([4294967295], [ascii(s)::BIGINT FOR s IN string_split(doc_id::VARCHAR, '')]), lambda c, b: {bit}), 4294967295)"
+    return f"""
+WITH docs AS (SELECT doc_id, {WORDS.format("coalesce(text, '')")} AS w, {crc} AS h FROM documents),
+placed AS (SELECT doc_id, w, len(w) AS n, h % {every} = 0 AND len(w) > 0 AS planted, h // {every} AS g FROM docs),
+cut AS (SELECT *, CASE WHEN planted THEN g % n ELSE 0 END AS a FROM placed),
+shaped AS (SELECT doc_id, CASE WHEN planted THEN list_concat(w[1:a], [w[a + i % (1 + (n - a) // (3 + g % 8)) + 1] FOR i IN range(n - a)]) ELSE w END AS w FROM cut),
+words AS MATERIALIZED (SELECT doc_id, unnest(range(len(w))) AS i, unnest(w) AS word, len(w) AS n FROM shaped),
+equal AS (SELECT a.doc_id, b.i - a.i AS q, a.i FROM words a JOIN words b ON a.doc_id = b.doc_id AND a.word = b.word AND b.i > a.i AND {times} * (b.i - a.i) <= a.n),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM equal),
+long AS (SELECT doc_id, q AS period, min(i) AS start, count(*) + q AS length FROM islands GROUP BY doc_id, q, island HAVING count(*) + q >= greatest({least}, {times} * q)),
+runs AS MATERIALIZED (SELECT * FROM long r WHERE NOT EXISTS (SELECT 1 FROM long s WHERE s.doc_id = r.doc_id AND s.period < r.period
+  AND s.start <= r.start AND s.start + s.length >= r.start + r.length)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+best AS (SELECT * FROM runs r WHERE NOT EXISTS (SELECT 1 FROM runs s WHERE s.doc_id = r.doc_id AND (s.length * r.period > r.length * s.period
+  OR (s.length * r.period = r.length * s.period AND (s.start, s.period) < (r.start, r.period))))),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS text FROM runs GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period, (1000 * length // period)::BIGINT AS exponent_milli,
+  sha256(coalesce(listed.text, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM docs LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
