@@ -127,10 +127,10 @@ def sums_by_centroid(vectors: DataFrame, centroids: list[list[int]]) -> DataFram
 
 def moved(vectors: DataFrame, centroids: list[list[int]]) -> list[list[int]]:
     """Every centroid at floor(sum / count) of its vectors; one without vectors stays."""
-    dims = len(centroids[0])
-    totals = [F.sum(F.col("sums")[i].cast("decimal(38,0)")).alias(f"s{i}") for i in range(dims)]
-    found = {r["cluster"]: r for r in sums_by_centroid(vectors, centroids).groupBy("cluster").agg(F.sum("rows").alias("rows"), *totals).collect()}
-    return [[int(found[c][f"s{i}"]) // found[c]["rows"] for i in range(dims)] if c in found else own for c, own in enumerate(centroids)]
+    parts = sums_by_centroid(vectors, centroids).select("cluster", "rows", F.posexplode("sums").alias("i", "s"))
+    found = parts.groupBy("cluster", "i").agg(F.sum("rows").alias("rows"), F.sum(F.col("s").cast("decimal(38,0)")).alias("s")).collect()
+    means = {(r["cluster"], r["i"]): int(r["s"]) // r["rows"] for r in found}
+    return [[means.get((c, i), x) for i, x in enumerate(own)] for c, own in enumerate(centroids)]
 
 
 def assigned(vectors: DataFrame, centroids: list[list[int]]) -> DataFrame:
