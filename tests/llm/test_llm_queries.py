@@ -19,6 +19,9 @@ COLUMNS = {
     8: "doc_id held_out score predicted",
     9: "doc_id n_shingles component_id kept",
     10: "doc_id n_words n_removed kept_sha256",
+    11: "vec_id cluster distance cluster_inertia inertia centroid_sha256",
+    12: "doc_id n_shingles component_id",
+    13: "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
 }
 
 
@@ -27,7 +30,7 @@ def number(name):
 
 
 def test_every_operator_is_registered_once():
-    assert sorted(map(number, QUERIES)) == list(range(1, 11))
+    assert sorted(map(number, QUERIES)) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry_point.queries())
     assert set(SQL) <= set(QUERIES)
 
