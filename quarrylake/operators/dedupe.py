@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PROVENANCE = ("_ingest_ts", "_source_file", "_source_system")
+PROVENANCE = ("_ingest_ts", "_source_file", "_source_system", "_row_id")
 
 
 def total_order(df: DataFrame, keys: Sequence[str], *first: Column) -> list[Column]:

@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 
 from quarrylake.functions.text import path_key
 
-LEDGER_SCHEMA = "path string, length bigint, modified timestamp, batch string"
+# What is loaded: every batch is one folder, written at its commit, with its files, the
+# columns its rows have, and the moment of the commit.
+LEDGER_SCHEMA = (
+    "path string, length bigint, modified timestamp, columns array<string>, digest string, committed timestamp, batch string"
+)
 
 
 def list_files(spark: SparkSession, base: str, pattern: str = "*") -> DataFrame:
@@ -65,10 +69,29 @@ def pending(files: DataFrame, ledger: DataFrame) -> DataFrame:
     return files.join(ledger.select("path"), "path", "left_anti")
 
 
-def record(files: DataFrame, ledger: str, batch: str) -> None:
-    """Write a batch's files to the ledger; this is the commit of the batch."""
-    entries = files.select("path", "length", "modified", F.lit(batch).alias("batch"))
-    entries.write.mode("append").parquet(ledger)
+def record(files: DataFrame, ledger: str, batch: str, columns: Sequence[str] = (), digest: str | None = None) -> None:
+    """Write a batch's files, and the columns of its rows, to the ledger; this is the commit of the batch.
+
+    It is one file in a folder of the batch's name, so it is there whole or not at
+    all, and a batch that commits again replaces its own entry only.
+    """
+    entries = files.select(
+        "path", "length", "modified", F.array(*map(F.lit, columns)).cast("array<string>").alias("columns"),
+        F.lit(digest).cast("string").alias("digest"), F.current_timestamp().alias("committed"),
+    )
+    entries.coalesce(1).write.mode("overwrite").parquet(f"{ledger}/batch={batch}")
+
+
+def committed_columns(ledger: DataFrame) -> list[str]:
+    """Every column that a committed batch has, by name."""
+    return sorted(r["column"] for r in ledger.select(F.explode("columns").alias("column")).distinct().collect())
+
+
+def last_commit(ledger: DataFrame) -> dict[str, object] | None:
+    """The newest commit: its batch, digest, and the length and change time of its newest file."""
+    newest = F.max(F.struct("committed", "batch", "digest", "modified", "length")).alias("newest")
+    found = ledger.agg(newest).first()["newest"]
+    return found.asDict() if found is not None else None
 
 
 def require(found: Mapping[str, DataFrame], needed: Sequence[str]) -> None:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,8 @@ from quarrylake.spec import Source
 FILE = "_source_file"
 ATTRIBUTE, OWN_TEXT = "@", "#text"
 CORRUPT = "_corrupt_record"  # where the JSON source puts text it cannot read
+RESCUED = "_rescued"  # what a source with declared fields delivered beside them, as JSON text
+TEXTS = "map<string,string>"
 
 Paths = str | Sequence[str]
 
@@ -146,16 +148,148 @@ def read_xml(spark: SparkSession, paths: Paths, row_tag: str) -> DataFrame:
     return _xml_columns(_with_file(reader.load(_many(paths))))
 
 
+def _texts(value: Column) -> Column:
+    """A JSON object as a map of its fields' texts, null where it is none."""
+    return _last_wins(F.from_json(value, TEXTS))
+
+
+def _last_wins(found: Column) -> Column:
+    """The map, of a repeated field the last one."""
+    keys = F.map_keys(found)
+    last = F.filter(F.map_entries(found), lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]))
+    return F.when(F.size(F.array_distinct(keys)) < F.size(keys), F.map_from_entries(last)).otherwise(found)
+
+
+def _tree(fields: Sequence[str]) -> dict[str, dict]:
+    """Declared fields by their path: {"a": {}, "b": {"c": {}}}."""
+    tree: dict[str, dict] = {}
+    for name in fields:
+        below = tree
+        for part in name.split("."):
+            below = below.setdefault(part, {})
+    return tree
+
+
+def _declared(found: Column, tree: dict[str, dict], above: str = "") -> tuple[dict[str, Column], list[Column]]:
+    """The declared fields of a map of texts as columns, and maps of what else it holds.
+
+    A field that stands where an object was declared counts as undeclared.
+    """
+    columns: dict[str, Column] = {}
+    beside = [F.map_filter(found, lambda k, _: ~k.isin(list(tree))) if tree else found]
+    if above:
+        beside = [F.transform_keys(beside[0], lambda k, _: F.concat(F.lit(f"{above}_"), k))]
+    for name, below in tree.items():
+        path = f"{above}_{name}" if above else name
+        value = found[name]
+        if not below:
+            columns[path] = value
+            continue
+        inside = _texts(value)
+        inner, more = _declared(inside, below, path)
+        columns.update(inner)
+        beside += [*more, F.when(inside.isNull() & value.isNotNull(), F.create_map(F.lit(path), value))]
+    return columns, beside
+
+
+def _declared_columns(df: DataFrame, found: Column, fields: Sequence[str], carry: Sequence[Column]) -> DataFrame:
+    columns, beside = _declared(found, _tree(fields))
+    empty = F.from_json(F.lit("{}"), TEXTS)
+    rescued = F.map_concat(*[F.coalesce(b, empty) for b in beside]) if len(beside) > 1 else F.coalesce(beside[0], empty)
+    text = F.when(F.size(rescued) > 0, F.to_json(rescued, {"ignoreNullFields": "false"}))
+    return df.select(*[c.alias(n) for n, c in columns.items()], text.alias(RESCUED), *carry)
+
+
+def declared_ndjson(spark: SparkSession, paths: Paths, fields: Sequence[str]) -> DataFrame:
+    """One JSON object per line, in one pass: declared fields, the rest in `_rescued`.
+
+    Whole numbers keep their text, others the shortest text of their value.
+    """
+    lines = _with_file(spark.read.option("recursiveFileLookup", "true").text(_many(paths))).where(F.trim("value") != "")
+    found = lines.withColumn("_found", _texts(F.col("value")))
+    unread = F.when(F.col("_found").isNull(), F.col("value")).alias(CORRUPT)
+    return _declared_columns(found, F.col("_found"), fields, [F.col(FILE), unread])
+
+
+def declared_documents(
+    spark: SparkSession, paths: Paths, root: str, fields: Sequence[str], envelope: bool = False, one_per_line: bool = False
+) -> DataFrame:
+    """The elements of the array `root` of each document, in one pass over the files.
+
+    With `envelope` the document's other fields are repeated on each row; a field of
+    the element wins over one of the same name. An empty array gives no row. A document
+    that cannot be read, or has no array of objects under `root`, gives one row that
+    holds nothing but its text in `_corrupt_record`.
+    """
+    texts = spark.read.option("recursiveFileLookup", "true").text(_many(paths), wholetext=not one_per_line)
+    docs = _with_file(texts).where(F.trim("value") != "")
+    if envelope:
+        parsed = docs.withColumn("_around", _texts(F.col("value"))).withColumn("_rows", F.from_json(F.col("_around")[root], f"array<{TEXTS}>"))
+    else:
+        kind = f"struct<`{root}`:array<{TEXTS}>>"
+        parsed = docs.withColumn("_rows", F.from_json("value", kind)[root])
+    sound = F.coalesce(F.forall("_rows", lambda r: r.isNotNull()), F.lit(False))
+    unread = F.when(~sound, F.col("value")).alias(CORRUPT)
+    around = [F.map_filter("_around", lambda k, _: k != root).alias("_around")] if envelope else []
+    none = F.array(F.lit(None).cast(TEXTS))
+    rows = parsed.select(FILE, unread, *around, F.explode(F.when(sound, F.col("_rows")).otherwise(none)).alias("_found"))
+    rows = rows.withColumn("_found", _last_wins(F.col("_found")))
+    found = F.col("_found")
+    if envelope:
+        outer = F.map_filter("_around", lambda k, _: ~F.map_contains_key(F.col("_found"), k))
+        found = F.when(found.isNotNull(), F.map_concat(outer, found))
+    return _declared_columns(rows.withColumn("_found", found), F.col("_found"), fields, [F.col(FILE), F.col(CORRUPT)])
+
+
+def declared_xml(spark: SparkSession, paths: Paths, row_tag: str, fields: Sequence[str]) -> DataFrame:
+    """One row per `row_tag` element, in one pass: declared children and attributes.
+
+    Children that are not declared are kept in `_rescued`, as a list of their XML;
+    attributes that are not declared are not read.
+    """
+    text, beside = T.StringType(), "_beside"
+    schema = T.StructType()
+    for name, below in _tree(fields).items():
+        if name.startswith(ATTRIBUTE):
+            schema.add(name, text)
+        else:
+            child = T.StructType([T.StructField(part, text) for part in (OWN_TEXT, *below)])
+            schema.add(name, T.ArrayType(child))
+    schema.add(beside, T.ArrayType(text)).add(CORRUPT, text)
+    reader = (
+        spark.read.format("xml").schema(schema).option("rowTag", row_tag).option("attributePrefix", ATTRIBUTE)
+        .option("valueTag", OWN_TEXT).option("wildcardColName", beside).option("recursiveFileLookup", "true").option("encoding", "UTF-8")
+    )
+    rows = _with_file(reader.load(_many(paths)))
+    rescued = F.when(F.size(beside) > 0, F.to_json(beside)).alias(RESCUED)
+    carried = rows.select(rescued, FILE, CORRUPT, *[quoted(n) for n in schema.names if n not in (beside, CORRUPT)])
+    return _xml_columns(carried)
+
+
 def read_text(spark: SparkSession, paths: Paths) -> DataFrame:
     """Whole files as UTF-8 text, one row per file."""
     return _with_file(spark.read.option("recursiveFileLookup", "true").text(_many(paths), wholetext=True))
 
 
+def _ndjson(spark: SparkSession, paths: Paths, source: Source) -> DataFrame:
+    return declared_ndjson(spark, paths, source.fields) if source.fields else read_ndjson(spark, paths)
+
+
+def _documents(spark: SparkSession, paths: Paths, source: Source) -> DataFrame:
+    if source.fields:
+        return declared_documents(spark, paths, source.root, source.fields, source.envelope)
+    return read_documents(spark, paths, source.root, source.envelope)
+
+
+def _xml(spark: SparkSession, paths: Paths, source: Source) -> DataFrame:
+    return declared_xml(spark, paths, source.root, source.fields) if source.fields else read_xml(spark, paths, source.root)
+
+
 READERS: dict[str, Callable[[SparkSession, Paths, Source], DataFrame]] = {
     "csv": lambda spark, paths, source: read_csv(spark, paths),
-    "ndjson": lambda spark, paths, source: read_ndjson(spark, paths),
-    "document": lambda spark, paths, source: read_documents(spark, paths, source.root, source.envelope),
-    "xml": lambda spark, paths, source: read_xml(spark, paths, source.root),
+    "ndjson": _ndjson,
+    "document": _documents,
+    "xml": _xml,
 }
 
 

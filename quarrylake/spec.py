@@ -9,7 +9,14 @@ from quarrylake.operators.history import History
 
 @dataclass(frozen=True)
 class Source:
-    """One raw source: who delivers it, its file format and its folder keys."""
+    """One raw source: who delivers it, its file format and its folder keys.
+
+    `fields` are the fields of a JSON or XML source, a dot before each nested name and
+    `@` before an XML attribute. With them a source is read in one pass as text columns
+    named by their path, and what is not declared is kept in `_rescued`. Without them
+    Spark infers the columns, which reads every byte twice. `declared` columns are
+    there whether or not a file carries them.
+    """
 
     name: str
     system: str
@@ -19,6 +26,7 @@ class Source:
     root: str | None = None
     envelope: bool = False
     declared: tuple[str, ...] = ()
+    fields: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -32,18 +40,33 @@ class Reference:
     scd_type: int
 
 
+# The fields that the JSON sources deliver. The XML source's are not known ahead.
+FIELDS = {
+    "payments": (
+        "payment_id", "external_ref", "amount_minor", "currency", "captured_at", "type", "status", "method", "customer_country",
+    ),
+    "telemetry": (
+        "event_id", "vehicle_id", "ride_id", "ts", "lat", "lon", "speed_kph", "battery", "signal_dbm", "is_locked", "firmware_version",
+    ),
+    "vehicles": (
+        "vehicle_id", "operator_id", "vehicle_type", "manufacturer", "model", "firmware_version", "battery_wh", "top_speed_kph",
+        "odometer_km", "purchase_date", "home_city_id", "qr_code", "status",
+    ),
+    "weather": ("city_id", "period", "source", "date", "tmax_c", "tmin_c", "precip_mm", "wind_kph"),
+}
+
 # Delivering systems, formats, folder keys and array roots.
 SOURCES = {
     s.name: s
     for s in (
         Source("maintenance", "Trip-Service", "xml", "maintenance", ("period",), root="event"),
-        Source("payments", "Payment-Processor", "document", "payments", ("dt",), root="records"),
+        Source("payments", "Payment-Processor", "document", "payments", ("dt",), root="records", fields=FIELDS["payments"]),
         Source("riders_cdc", "Rider-Service", "csv", "riders_cdc", ("dt",)),
         Source("rides", "Trip-Service", "csv", "rides", ("dt",), declared=("promo_code",)),
         Source("telemetry", "IoT-Telemetry", "ndjson", "telemetry", ("city", "dt", "hour"),
-               declared=("firmware_version",)),
-        Source("vehicles", "Fleet-Registry", "document", "vehicles", ("snapshot_date",), root="vehicles"),
-        Source("weather", "Weather-Mirror", "document", "weather", ("city",), root="days", envelope=True),
+               declared=("firmware_version",), fields=FIELDS["telemetry"]),
+        Source("vehicles", "Fleet-Registry", "document", "vehicles", ("snapshot_date",), root="vehicles", fields=FIELDS["vehicles"]),
+        Source("weather", "Weather-Mirror", "document", "weather", ("city",), root="days", envelope=True, fields=FIELDS["weather"]),
     )
 }
 REFERENCES = {

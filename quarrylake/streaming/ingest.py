@@ -1,48 +1,63 @@
-"""Incremental load as a stream: the checkpoint is the ledger of files."""
+"""Incremental load as a stream, into the bronze table and ledger of the batch load.
+
+The stream is of files, not of rows: its source lists the landing folder and opens
+nothing, its checkpoint remembers what it has handed over, and each micro-batch goes
+through the same load as a batch run. So every format streams, and headers may drift.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from quarrylake.functions.columns import flatten
-from quarrylake.functions.text import path_key, unescaped
-from quarrylake.sources.readers import FILE
-from quarrylake.sources.tables import stamp
+from quarrylake.plans.bronze import ENDINGS, load_files, utc_now
+from quarrylake.sources.files import pending, read_ledger
 from quarrylake.spec import Lake, Source
 
-FORMATS = {"csv": ("csv", {"header": "true", "escape": '"', "enforceSchema": "false"}), "ndjson": ("json", {})}
+# Fixed value: the columns of Spark's binary file source, of which the content is never read here.
+LISTED = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def ingest_available(
-    spark: SparkSession, lake: Lake, source: Source, columns: Sequence[str], files_per_batch: int = 10_000
-) -> None:
-    """Load all files not seen before into bronze, in bounded batches, and stop.
+    spark: SparkSession, lake: Lake, source: Source, columns: Sequence[str] = (), files_per_batch: int = 10_000
+) -> int:
+    """Load all files not seen before into bronze, in bounded batches, and stop; returns their number.
 
-    A stream needs its columns declared. A CSV file whose header differs from
-    them fails the run; files that drift go through the batch load.
+    A micro-batch that is replayed, or that meets files which a batch load has taken,
+    loads what the ledger does not name and nothing else. `columns` are there in
+    bronze whether or not a file carries them.
     """
-    kind, options = FORMATS[source.format]
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    raw = (
-        spark.readStream.format(kind)
-        .schema(schema)
-        .options(**options)
-        .option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .load(lake.landing(source.name))
-    )
-    rows = flatten(raw.withColumn(FILE, unescaped(F.col("_metadata.file_path"))))
-    rows = rows.withColumns({k: path_key(F.col(FILE), k) for k in source.keys})
-    writer = (
-        stamp(rows, source.system, F.current_timestamp())
-        .writeStream.format("parquet")
+    wanted = Source(**{**vars(source), "declared": (*source.declared, *[c for c in columns if c not in source.declared])})
+    known = Lake(lake.root, {**lake.sources, source.name: wanted}, lake.references)
+    loaded = []
+
+    def load(files: DataFrame, number: int) -> None:
+        session = files.sparkSession
+        fresh = pending(files.where("length > 0"), read_ledger(session, known.ledger(source.name)))
+        entries = fresh.orderBy("modified", "path").collect()  # files_per_batch at most
+        loaded.append(load_files(session, known, source.name, entries, utc_now(), "stream"))
+
+    try:
+        listing = (
+            spark.readStream.format("binaryFile").schema(LISTED)
+            .option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", ENDINGS[source.format])
+            .option("maxFilesPerTrigger", files_per_batch)
+            .load(lake.landing(source.name))
+        )
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+    query = (
+        listing.select("path", "length", F.col("modificationTime").alias("modified"))
+        .writeStream.foreachBatch(load)
         .option("checkpointLocation", lake.at("_checkpoints", source.name))
         .trigger(availableNow=True)
+        .start()
     )
-    if source.keys:
-        writer = writer.partitionBy(*source.keys)
-    writer.start(lake.bronze(source.name)).awaitTermination()
+    query.awaitTermination()
+    return sum(loaded)
