@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from quarrylake.operators.quality import REASON, Parted, describe_rejects
-from quarrylake.plans import bronze, gold, silver
-from quarrylake.sources.tables import read_table, replace_table, staged, write_table
-from quarrylake.spec import LAYOUT, Lake
+from quarrylake.operators.quality import Parted
+from quarrylake.plans import bronze, gold, refresh, silver
+from quarrylake.sources.tables import read_table, write_table
+from quarrylake.spec import Lake
 
 # Each cleaned table with the function that makes it and the cleaned tables it looks things up in.
 CLEANERS: dict[str, tuple[Callable[..., Parted], tuple[str, ...]]] = {
@@ -35,52 +33,56 @@ def run_bronze(spark: SparkSession, lake: Lake) -> dict[str, int]:
     return {name: bronze.load_new(spark, lake, name) for name in lake.sources}
 
 
-def store(parted: Parted, lake: Lake, table: str) -> None:
-    """Replace the table by the kept rows and its quarantine by the rejected ones.
+def run_silver(spark: SparkSession, lake: Lake, whole: bool = False) -> list[str]:
+    """Bring every loaded table up to date, in dependency order; returns all tables there are.
 
-    Both sides are computed once, into a staging table of the shared scratch
-    folder; the sinks then read their own side of it. As every run computes a
-    table from all of bronze, what an earlier run wrote is not kept beside it:
-    no row under a folder it has left, no reject twice, no reject in clear text
-    that has been redacted since. A reject keeps the time it was first seen.
+    A table without new batches, whose parents did not change, is left alone. One that
+    is laid out by folder is refreshed where its changes fall (`refresh.py`), any
+    other, and every table with `whole`, is replaced by what all of bronze gives: so no
+    stale folder, repeated reject or unredacted reject stays behind. A changed parent
+    that is not looked up by its keys alone calls for the whole table too. Sources that
+    never delivered are passed over.
     """
-    both = staged(parted.both(), lake.silver(table))
-    kept = both.where(F.col(REASON).isNull()).select(*parted.kept.columns)
-    replace_table(kept, lake.silver(table), LAYOUT.get(table, ()))
-    rejected = both.where(F.col(REASON).isNotNull()).select(*parted.rejected.columns)
-    described = since_first_seen(describe_rejects(rejected, table), lake.quarantine(table))
-    replace_table(staged(described, lake.quarantine(table)), lake.quarantine(table), ["reject_date"])
-
-
-def since_first_seen(described: DataFrame, path: str) -> DataFrame:
-    """Rejects with the reject time that equal rows already have in the quarantine."""
-    try:
-        known = read_table(described.sparkSession, path)
-    except AnalysisException as missing:
-        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return described
-    row = [c for c in described.columns if c not in ("_reject_ts", "reject_date")]
-    if set(known.columns) != set(described.columns):
-        return described
-    name = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in row]), {"ignoreNullFields": "false"}), 256)
-    first = known.groupBy(name.alias("_name")).agg(F.min("_reject_ts").alias("_first"))
-    dated = described.withColumn("_name", name).join(first, "_name", "left")
-    dated = dated.withColumn("_reject_ts", F.coalesce("_first", "_reject_ts"))
-    return dated.withColumn("reject_date", F.to_date("_reject_ts")).select(*described.columns)
-
-
-def run_silver(spark: SparkSession, lake: Lake) -> list[str]:
-    """Clean every loaded table in dependency order; sources that never delivered are passed over."""
-    done = []
+    versions: dict[str, int] = {}
     for table, (clean, needs) in CLEANERS.items():
         raw = bronze.read_bronze(spark, lake, table)
         if raw is None:
             continue
-        parents = [_parent(spark, lake, name, done) for name in needs]
-        store(clean(raw, *parents), lake, table)
-        done.append(table)
-    return done
+        last = refresh.last_commit(spark, lake, table)
+        batches = frozenset(bronze.committed_batches(spark, lake, table))
+        seen = {name: versions.get(name, 0) for name in needs}
+        version = last.version + 1 if last else 1
+        if last and not whole and (last.batches, last.parents) == (batches, seen):
+            versions[table] = last.version
+            continue
+        parents = [_parent(spark, lake, name, list(versions)) for name in needs]
+        moved = None if whole or not last else _moved(spark, lake, table, last, seen, batches)
+        refreshed = False
+        if moved is not None:
+            new = bronze.read_bronze(spark, lake, table, sorted(batches - last.batches))
+            refreshed = refresh.refresh(spark, lake, table, clean, parents, raw, new, moved, version)
+        if not refreshed:
+            refresh.replace_whole(spark, clean(raw, *parents), lake, table, version)
+        refresh.commit(spark, lake, table, refresh.Commit(version, batches, seen), not refreshed)
+        versions[table] = version
+    return list(versions)
+
+
+def _moved(spark: SparkSession, lake: Lake, table: str, last: refresh.Commit, seen: dict[str, int], batches: frozenset[str]) -> dict[str, DataFrame] | None:
+    """Keys that came or went in the parents since the table was made; None if it must be made whole."""
+    if table not in refresh.DELTAS or not last.batches <= batches:
+        return None
+    moved = {}
+    for parent, version in seen.items():
+        if version == last.parents.get(parent, 0):
+            continue
+        keys = None
+        if parent in refresh.DELTAS[table].members:
+            keys = refresh.parent_changes(spark, lake, parent, last.parents.get(parent, 0), version)
+        if keys is None:
+            return None
+        moved[parent] = keys
+    return moved
 
 
 # The key of each table others look things up in.

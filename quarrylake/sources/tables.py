@@ -43,6 +43,19 @@ def replace_table(df: DataFrame, path: str, layout: Sequence[str] = ()) -> None:
     (writer.partitionBy(*layout) if layout else writer).parquet(path)
 
 
+def folder_name(key: str, value: object) -> str:
+    """The folder Spark writes a value's rows to."""
+    if value is None:
+        return f"{key}=__HIVE_DEFAULT_PARTITION__"
+    special = set("\"#%'*/:=?\\{[]^\x7f") | {chr(i) for i in range(1, 32)}
+    return f"{key}=" + "".join(f"%{ord(c):02X}" if c in special else c for c in str(value))
+
+
+def empty_folder(like: DataFrame, path: str, key: str, value: object) -> None:
+    """Leave no row in one folder of a laid-out table."""
+    like.drop(key).limit(0).coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{folder_name(key, value)}")
+
+
 def append_rejects(rejected: DataFrame, path: str) -> None:
     """Add rejects to a quarantine table, laid out by the day they were rejected."""
     write_table(rejected, path, ["reject_date"], mode="append")

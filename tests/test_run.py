@@ -174,3 +174,113 @@ def test_a_source_of_empty_documents_only_loads_no_rows(spark, tmp_path):
 
     assert bronze.load_new(spark, lake, "payments") == 1
     assert bronze.load_new(spark, lake, "payments") == 0
+
+
+def folder_times(path):
+    from pathlib import Path
+
+    return {f.name: max(p.stat().st_mtime_ns for p in f.iterdir()) for f in Path(path).iterdir() if f.is_dir()}
+
+
+def whole(spark, path, *leave):
+    df = spark.read.parquet(path)
+    return sorted(map(str, df.select(*[c for c in sorted(df.columns) if c not in leave]).collect()))
+
+
+def test_a_load_rewrites_its_own_folders_and_equals_a_full_rebuild(spark, tmp_path):
+    """Rides move, come and go; payments gain and lose their ride; an event's vehicle is registered later."""
+    lake = Lake(str(tmp_path))
+    land(lake)
+    header, body = RIDES.splitlines()[0], RIDES.splitlines()[2]
+    other = lambda n, day: body.replace("R1,", f"{n},").replace("2026-04-10", day).replace("2026-04-11T23", "2026-04-12T23")
+    put(lake.landing("rides"), "dt=2026-04-08/rides_C-M_2026-04-08.csv", "\n".join([header, other("R7", "2026-04-08"), other("R8", "2026-04-07")]) + "\n")
+    pay = {"currency": "EUR", "type": "charge", "status": "captured", "method": "card", "amount_minor": 5}
+    put(lake.landing("payments"), "dt=2026-04-11/q.json", json.dumps({"records": [
+        {**pay, "payment_id": "P7", "external_ref": "R7", "captured_at": "2026-04-08T10:00:00Z"},
+        {**pay, "payment_id": "P9", "external_ref": "R9", "captured_at": "2026-04-09T10:00:00Z"}]}))
+    run.run(spark, lake)
+    before = {t: folder_times(lake.silver(t)) for t in ("rides", "payments", "telemetry")}
+    assert run.run(spark, lake)["tables"] and before == {t: folder_times(lake.silver(t)) for t in before}
+
+    late = other("R9", "2026-04-09")
+    gone = other("R7", "2026-04-08").replace("2026-04-12T23", "2026-04-14T23").replace(",2026-04-08 10:00:00,2026-04-08 10:10:00,", ",,,")
+    moved = other("R8", "2026-04-06").replace("2026-04-12T23", "2026-04-14T23")
+    put(lake.landing("rides"), "dt=2026-04-14/rides_C-M_2026-04-14.csv", "\n".join([header, late, gone, moved]) + "\n")
+    put(lake.landing("vehicles"), "snapshot_date=2026-04-12/v.json", json.dumps({"vehicles": [
+        {"vehicle_id": "V2", "operator_id": "OP-1", "battery_wh": 500}]}))
+    run.run(spark, lake)
+    rides = spark.read.parquet(lake.silver("rides"))
+    assert rows(rides, "ride_id", "ride_date") == rows(rides.selectExpr("ride_id", "CAST(start_ts AS DATE) AS ride_date"), "ride_id", "ride_date")
+    assert [r[0] for r in rows(rides, "ride_id")] == ["R1", "R2", "R8", "R9"]
+    assert rows(spark.read.parquet(lake.silver("payments")), "payment_id") == [("P1",), ("P9",)]
+    assert rows(spark.read.parquet(lake.quarantine("payments")), "payment_id") == [("P2",), ("P7",)]
+    assert rows(spark.read.parquet(lake.silver("telemetry")), "event_id", "is_registered_vehicle") == [("e1", True), ("e2", True), ("e3", True)]
+    after = {t: folder_times(lake.silver(t)) for t in before}
+    changed = {t: {f for f in after[t] if after[t][f] != before[t].get(f)} for t in before}
+    assert changed == {
+        "rides": {"ride_date=2026-04-06", "ride_date=2026-04-07", "ride_date=2026-04-08", "ride_date=2026-04-09"},
+        "payments": {"payment_date=2026-04-08", "payment_date=2026-04-09"},
+        "telemetry": {"event_date=2026-07-24"},
+    }
+    places = [lake.silver(t) for t in run.CLEANERS if t in ("rides", "payments", "telemetry", "vehicles", "cities")]
+    places += [lake.quarantine(t) for t in ("rides", "payments")]
+    refreshed = [whole(spark, p) for p in places]
+    run.run_silver(spark, lake, whole=True)
+    assert refreshed == [whole(spark, p) for p in places]
+
+
+def test_first_rejection_survives_new_columns(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    land(lake)
+    run.run(spark, lake)
+    first = {r.ride_id: r._reject_ts for r in spark.read.parquet(lake.quarantine("rides")).collect()}
+    header, bad = RIDES.splitlines()[0], RIDES.splitlines()[4]
+    put(lake.landing("rides"), "dt=2026-04-15/rides_C-G_2026-04-15.csv", f"{header},weather\n{bad.replace('R3', 'R5')},rain\n")
+    run.run(spark, lake)
+    got = spark.read.parquet(lake.quarantine("rides"))
+    assert "weather" in got.columns and "weather" in spark.read.parquet(lake.silver("rides")).columns
+    again = {r.ride_id: r._reject_ts for r in got.collect()}
+    assert set(again) == {"R3", "R4", "R5"} and {k: again[k] for k in first} == first and again["R5"] > max(first.values())
+
+
+def test_references_are_loaded_when_they_change(spark, tmp_path):
+    import os
+    from pathlib import Path
+
+    from quarrylake.plans import bronze
+
+    lake = Lake(str(tmp_path))
+    land(lake)
+    assert bronze.load_references(spark, lake) == ["cities", "operators", "plans", "zones"]
+    assert bronze.load_references(spark, lake) == []
+    plans = Path(lake.landing("plans"))
+    os.utime(plans, (plans.stat().st_mtime + 60,) * 2)
+    assert bronze.load_references(spark, lake) == []
+    plans.write_text(plans.read_text().replace("P,2", "P,3"))
+    os.utime(plans, (plans.stat().st_mtime + 120,) * 2)
+    assert bronze.load_references(spark, lake) == ["plans"]
+    assert rows(bronze.read_bronze(spark, lake, "plans"), "plan_id", "version") == [("P", "1"), ("P", "3")]
+
+
+def test_stream_and_batch_share_one_bronze(spark, tmp_path):
+    from quarrylake.plans import bronze
+    from quarrylake.streaming.ingest import ingest_available
+
+    lake = Lake(str(tmp_path))
+    land(lake)
+    vehicles = lake.sources["vehicles"]
+    assert ingest_available(spark, lake, vehicles, files_per_batch=2) == 3
+    assert bronze.load_new(spark, lake, "vehicles") == 0
+    put(lake.landing("vehicles"), "snapshot_date=2026-04-13/v.json", json.dumps({"vehicles": [{"vehicle_id": "V3", "colour": "red"}]}))
+    assert bronze.load_new(spark, lake, "vehicles") == 1
+    put(lake.landing("vehicles"), "snapshot_date=2026-04-14/v.json", json.dumps({"vehicles": []}))
+    assert ingest_available(spark, lake, vehicles) == 1
+    assert bronze.load_new(spark, lake, "vehicles") == 0 and ingest_available(spark, lake, vehicles) == 0
+    got = bronze.read_bronze(spark, lake, "vehicles")
+    assert [r[0] for r in rows(got, "vehicle_id")] == ["V1"] * 3 + ["V2"] * 3 + ["V3"]
+    assert rows(got.where("vehicle_id = 'V3'"), "_rescued") == [('{"colour":"red"}',)]
+    # a checkpoint that is lost hands over every file again, and none is loaded twice
+    fresh = Lake(str(tmp_path), {**lake.sources})
+    object.__setattr__(fresh, "at", lambda layer, *names: Lake.at(fresh, f"{layer}-new" if layer == "_checkpoints" else layer, *names))
+    assert ingest_available(spark, fresh, vehicles) == 0
+    assert bronze.read_bronze(spark, lake, "vehicles").count() == 7
