@@ -6,14 +6,15 @@
    shingle is among its first n - a + 1 and the first k common ones among its first
    n - a + k: the k-prefix. A bucket holds the sets that have a shingle in their
    1-prefix; of a pair only the first common shingle matters.
-3. A first pass tests members against one centre of their bucket, the member of most
+3. First rounds test members against one centre of their bucket, the member of most
    company; that settles groups of near copies with about one pair a member. Buckets
-   whose members are linked by then are closed.
-4. In the buckets that stay open a rare shingle is a key by itself. A frequent one
-   (`CROWDED` members or more) is no key: its members extend their prefixes by one and
-   are indexed under combinations of it with every later shingle there; combinations
-   that are crowded again are extended to three. A pair whose first common shingle is
-   frequent shares the combination of its first two, or three.
+   whose members are linked by then are closed. The rounds end when few links come.
+4. In the buckets that stay open a rare shingle is a key by itself. A frequent one is no
+   key: its members extend their prefixes by one and are indexed under combinations of
+   it with every later shingle there; combinations that are crowded again are extended
+   to three. A pair whose first common shingle is frequent shares the combination of its
+   first two, or three. Frequent are keys of `CROWDED` members or more whose combinations
+   are fewer than their pairs; with long prefixes the pairs are the shorter list.
 5. Within a key the places (set size, place of the first and the last of the
    combination) meet before their members do: what stands before the first place is not
    shared, what follows the last bounds the rest. Bitmaps rule out more; the rest is
@@ -49,6 +50,8 @@ CROWDED = 64  # members from which a key is extended by one more shingle
 LONGEST = 3  # shingles in the longest combination; crowded keys of that length are joined as they are
 # Two different sets above the threshold share at least nine shingles, so no combination is too long for a link.
 
+SETTLED = 20  # the rounds of one centre a bucket end when they link less than one in so many members
+
 SLICE = 500  # texts held as arrays at a time
 
 MEMBER = "doc_id bigint, text_hash bigint, n_shingles bigint, set_a bigint, set_b bigint, prefix array<bigint>, bits array<bigint>"
@@ -88,6 +91,15 @@ def rarity(docs: DataFrame) -> np.ndarray:
     return counts
 
 
+def rarest(hashes: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
+    """The first `size` of distinct hashes, ordered by the count of their slot and then by value."""
+    times = counts[(hashes & np.uint64(COUNTS - 1)).astype(np.int64)]
+    if size < len(hashes):
+        few = np.flatnonzero(times <= np.partition(times, size)[size])  # all that tie with the last one, too
+        hashes, times = hashes[few], times[few]
+    return hashes[np.lexsort((hashes, times))[:size]]
+
+
 def described(docs: DataFrame) -> DataFrame:
     """Stored per row of `docs`: set size, 128-bit hash of the set, longest prefix in order, bitmap."""
     times = docs.sparkSession.sparkContext.broadcast(np.minimum(rarity(docs), 2**32 - 1).astype(np.uint32))
@@ -100,11 +112,10 @@ def described(docs: DataFrame) -> DataFrame:
             for text in rows.column("text").to_pylist():
                 hashes = shingle_set(text, words, SHINGLE)
                 n = len(hashes)
-                order = np.lexsort((hashes, counts[(hashes & np.uint64(COUNTS - 1)).astype(np.int64)]))
                 out["n_shingles"].append(n)
                 out["set_a"].append(signed(int(np.add.reduce(mixed(hashes, 11)))))
                 out["set_b"].append(signed(int(np.add.reduce(mixed(hashes, 13)))))
-                out["prefix"].append(hashes[order[:n - least_common(n) + LONGEST]].view(np.int64))
+                out["prefix"].append(rarest(hashes, counts, n - least_common(n) + LONGEST).view(np.int64))
                 out["bits"].append(bitmap(hashes))
             yield batch(MEMBER_ARROW, out)
 
@@ -133,11 +144,16 @@ def members_of(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def shared_prefixes(members: DataFrame) -> DataFrame:
-    """Stored (key, node, n, at, size) of the 1-prefixes, of shingles that two classes have there."""
+    """Stored (key, node, n, at, size, weight) of the 1-prefixes, of shingles that two classes
+    have there; a node's weight is the sum of its keys' sizes."""
     reach = (F.col("n") - F.ceil(PERCENT * F.col("n") / 100) + 1).cast("int")
     rows = members.select("node", "n", F.posexplode(F.slice("prefix", F.lit(1), reach)).alias("at", "key"))
-    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    return stored(rows.join(stored(sizes, "ngrams-sizes"), "key"), "ngrams-keys")
+    # The smaller set of a pair has the shingle early enough for a partner of its own size.
+    early = (100 + PERCENT) * (F.col("n") - F.col("at")) >= 2 * PERCENT * F.col("n")
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.max(early).alias("early")).filter("size > 1 and early")
+    held = stored(rows.join(stored(sizes.select("key", "size"), "ngrams-sizes"), "key"), "ngrams-shared")
+    weights = held.groupBy("node").agg(F.sum("size").alias("weight"))
+    return stored(held.join(weights, "node"), "ngrams-keys")
 
 
 def may_link(common: Column) -> Column:
@@ -171,6 +187,11 @@ def set_rows(texts: DataFrame) -> DataFrame:
     return texts.select("node", "text").mapInArrow(each, "node bigint, shingles array<bigint>")
 
 
+def later_shingles(k: int) -> Column:
+    """Shingles of the (k + 1)-prefix behind the last one of a key of k."""
+    return F.col("n") - F.ceil(PERCENT * F.col("n") / 100) + k - F.col("last")
+
+
 class Join:
     """What the rounds share: texts, classes and their keys, full sets read so far, labels so far."""
 
@@ -192,12 +213,12 @@ class Join:
         self.sets = fresh if self.sets is None else self.sets.unionByName(fresh)
         return self.sets
 
-    def link(self, pairs: DataFrame) -> bool:
-        """Test pairs (a, b) and merge the labels of those that link; tells whether any did."""
+    def link(self, pairs: DataFrame) -> int:
+        """Test pairs (a, b) and merge the labels of those that link; tells how many did."""
         self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
         pairs = stored(possible(pairs, self.members), "ngrams-possible")
         if pairs.isEmpty():
-            return False
+            return 0
         sets = self.sets_of(pairs)
         left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
         right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
@@ -205,10 +226,10 @@ class Join:
         both = F.size("of_a") + F.size("of_b")
         linked = pairs.join(right, "b").join(left, "a").filter(100 * common >= PERCENT * (both - common))
         links = stored(linked.select("a", "b"), "ngrams-links")
-        if links.isEmpty():
-            return False
-        self.labels = merged_labels(self.labels, links)
-        return True
+        found = links.count()
+        if found:
+            self.labels = merged_labels(self.labels, links)
+        return found
 
     def untested(self, pairs: DataFrame) -> DataFrame:
         """Stored distinct pairs, the smaller node first, without those tested before."""
@@ -225,20 +246,19 @@ class Join:
         return stored(placed.join(stored(spread.filter("lo < hi").select("key", "size"), "ngrams-sizes"), "key"), "ngrams-open")
 
     def settle(self) -> DataFrame:
-        """Test every member against the weightiest centre of its open buckets, until a round
-        links nothing; returns the rows of the buckets that stay open."""
-        weights = stored(self.keys.groupBy("node").agg(F.sum("size").alias("weight")), "ngrams-weights")
+        """Test every member against the weightiest centre of its open buckets, while a round
+        links one in `SETTLED` of the members left; returns the rows of the open buckets."""
         while True:
             rows = self.open_keys(self.keys)
-            weighed = rows.join(weights, "node")
             centre = F.max(F.struct("weight", (-F.col("node")).alias("least"), "label", "n")).alias("c")
-            centres = stored(weighed.groupBy("key").agg(centre), "ngrams-centres")
+            centres = stored(rows.groupBy("key").agg(centre), "ngrams-centres")
             met = rows.join(centres, "key").filter(F.col("label") != F.col("c.label"))
             met = met.withColumns({"n_a": F.col("n"), "n_b": F.col("c.n")}).filter(may_link(F.least("n_a", "n_b")))
             best = F.max(F.struct(F.col("c.weight").alias("weight"), F.col("c.least").alias("least"))).alias("best")
             pairs = met.groupBy("node").agg(best).select((-F.col("best.least")).alias("a"), F.col("node").alias("b"))
-            if not self.link(self.untested(pairs)):
-                return rows
+            linked = self.link(self.untested(pairs))
+            if linked * SETTLED < rows.select("node").distinct().count():
+                return self.open_keys(self.keys) if linked else rows
 
     def pairs_within(self, rows: DataFrame, k: int) -> DataFrame:
         """Pairs of different components that share a key of k shingles, at places that allow a link."""
@@ -251,10 +271,17 @@ class Join:
         met = meeting.join(end(held, "a"), ["key", "n_a", "first_a", "last_a"]).join(end(held, "b"), ["key", "n_b", "first_b", "last_b"])
         return met.filter("label_a <> label_b and (n_a < n_b or node_a < node_b)").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
+    def crowded(self, rows: DataFrame, k: int) -> DataFrame:
+        """The rows with a flag for keys of k shingles of which combinations are made."""
+        if k == LONGEST:
+            return rows.withColumn("crowded", F.lit(False))
+        made = rows.filter(F.col("size") >= CROWDED).groupBy("key").agg(F.sum(later_shingles(k)).alias("made"), F.max("size").alias("many"))
+        keys = made.filter(2 * F.col("made") < F.col("many") * (F.col("many") - 1)).select("key", F.lit(True).alias("crowded"))
+        return stored(rows.join(keys, "key", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False))), "ngrams-level")
+
     def extended(self, rows: DataFrame, k: int) -> DataFrame:
         """Keys of k shingles extended by every later shingle of the (k + 1)-prefix."""
-        end = F.col("n") - F.ceil(PERCENT * F.col("n") / 100) + k + 1
-        later = F.slice("prefix", F.col("last") + 2, (end - F.col("last") - 1).cast("int"))
+        later = F.slice("prefix", F.col("last") + 2, later_shingles(k).cast("int"))
         more = rows.join(self.members.select("node", "prefix"), "node").select("key", "node", "n", "first", "last", F.posexplode(later).alias("after", "shingle"))
         return more.select(F.xxhash64("key", "shingle").alias("key"), "node", "n", "first", (F.col("last") + F.col("after") + 1).alias("last"))
 
@@ -262,10 +289,10 @@ class Join:
         """Every link left between different components, by keys of one to `LONGEST` shingles."""
         level, found = rows.withColumns({"first": F.col("at"), "last": F.col("at")}), None
         for k in range(1, LONGEST + 1):
-            ready = level if k == LONGEST else level.filter(F.col("size") < CROWDED)
-            pairs = stored(self.pairs_within(ready, k), "ngrams-met")
+            level = self.crowded(level, k)
+            pairs = stored(self.pairs_within(level.filter("not crowded"), k).distinct(), "ngrams-met")
             found = pairs if found is None else found.unionByName(pairs)
-            crowded = level.filter(F.col("size") >= CROWDED)
+            crowded = level.filter("crowded")
             if k == LONGEST or crowded.isEmpty():
                 break
             level = self.open_keys(stored(self.extended(crowded, k), "ngrams-combinations"))
