@@ -7,11 +7,26 @@ from pyspark.sql import functions as F
 
 # The written forms of an instant that carry no offset. The fourth
 # form ends in `Z` or an offset such as `+02:00`. No text has two of the forms.
-EPOCH_MILLIS = r"^\d{1,15}$"
+EPOCH_MILLIS = r"^\d+$"
 LOCAL_ISO = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 LOCAL_DAY_FIRST = r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}$"
 
 
+# The greatest number of milliseconds whose microseconds fit a timestamp.
+MOST_MILLIS = (2**63 - 1) // 1000
+
+
+def epoch_millis(text: Column) -> Column:
+    """Milliseconds written as digits; null where they lie beyond what a timestamp holds."""
+    number = text.try_cast("bigint")
+    return F.when(number <= MOST_MILLIS, number)
+
+
+def beyond_timestamps(text: Column) -> Column:
+    """Whether a text is digits only, but of a moment that no timestamp holds; never null."""
+    return F.coalesce(text.rlike(EPOCH_MILLIS) & epoch_millis(text).isNull(), F.lit(False))
+
+
 def wall_clock(text: Column, zone: Column) -> Column:
     """Instant of a zone-less wall-clock text, whatever the session's zone is.
 
@@ -36,7 +51,7 @@ def instant(text: Column, zone: Column) -> Column:
     """Instant written as epoch milliseconds, local time, offset time or day-first local time."""
     return (
         F.when(has_offset(text), text.try_cast("timestamp"))
-        .when(text.rlike(EPOCH_MILLIS), F.timestamp_millis(text.try_cast("bigint")))
+        .when(text.rlike(EPOCH_MILLIS), F.timestamp_millis(epoch_millis(text)))
         .when(text.rlike(LOCAL_ISO), wall_clock(text, zone))
         .when(text.rlike(LOCAL_DAY_FIRST), wall_clock(day_first_to_iso(text), zone))
     )

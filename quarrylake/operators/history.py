@@ -3,8 +3,8 @@
 A version opens when the tracked state differs from the one before and ends
 where the next version opens. One shuffle and one sort by entity serve both
 window passes. Entities too large for a task are cut along time into chunks
-of equal depth; a summary of one row per chunk then settles what depends on
-the neighbouring chunks.
+of equal depth and stored with what each chunk says of its rows; one summary of a
+row per chunk then settles what depends on the neighbouring chunks.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from quarrylake.functions.keys import hashed
 from quarrylake.operators.dedupe import keep_one
 from quarrylake.operators.skew import HOT_ROWS, HotKeys, find_hot
+from quarrylake.session import scratch_path
 
 # The end of an open version, and the letters of a change log.
 OPEN_END = "9999-12-31 00:00:00"
@@ -106,54 +107,86 @@ def _versions(df: DataFrame, spec: History) -> DataFrame:
     return opened.withColumn("valid_to_ts", F.coalesce(F.lead("valid_from_ts").over(w), open_end()))
 
 
-def _chunked_without_ghosts(rows: DataFrame, spec: History) -> DataFrame:
-    """Drop ghost updates where the deciding insert or delete may lie in an earlier chunk."""
-    so_far = Window.partitionBy("_key", "_chunk").orderBy(spec.moment).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_turn", _turn(spec.op))
-    turned_at = F.when(F.col("_turn").isNotNull(), F.struct(spec.moment))
-    ends = rows.groupBy("_key", "_chunk").agg(F.max_by("_turn", turned_at).alias("_end_turn"))
-    before = Window.partitionBy("_key").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    brought = F.last("_end_turn", ignorenulls=True).over(before).alias("_brought")
-    rows = rows.join(ends.select("_key", "_chunk", brought), ["_key", "_chunk"])
-    last_turn = F.coalesce(F.last("_turn", ignorenulls=True).over(so_far), F.col("_brought"))
-    rows = rows.withColumn("_last_turn", last_turn)
-    return rows.where(~_ghost(spec.op, F.col("_last_turn"))).drop("_turn", "_last_turn", "_brought")
+def _passed(df: DataFrame, spec: History) -> DataFrame:
+    """Stored rows of chunked entities with what their own chunk says about them.
 
-
-def _versions_by_chunk(df: DataFrame, spec: History) -> DataFrame:
-    """Versions of entities cut along time; the result is that of `_versions`."""
+    An update ahead of its chunk's first insert or delete is loose: whether it is a ghost
+    is up to earlier chunks. So heads and changes are told twice, among all rows of the
+    chunk and among the firm ones.
+    """
     w = Window.partitionBy("_key", "_chunk").orderBy(spec.moment)
     rows = df.withColumn("_key", F.struct(spec.entity)).repartition("_key", "_chunk")
+    loose = F.lit(False)
     if spec.op is not None:
-        rows = _chunked_without_ghosts(rows, spec)
-    rows = rows.withColumns({"_state": _state(spec), "valid_from_ts": _start(spec)}).withColumns(
-        {"_before": F.lag("_state").over(w), "_head": F.row_number().over(w) == 1}
-    )
-    inner_change = ~F.col("_head") & ~F.col("_state").eqNullSafe(F.col("_before"))
-    rows = rows.withColumn("_changed", inner_change).drop("_before")
-
-    at = F.struct(spec.moment)
-    chunks = rows.groupBy("_key", "_chunk").agg(
-        F.min_by("_state", at).alias("_first"),
-        F.max_by("_state", at).alias("_last"),
-        F.min("valid_from_ts").alias("_first_at"),
-        F.min(F.when(F.col("_changed"), F.col("valid_from_ts"))).alias("_inner_at"),
-    )
+        so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+        rows = rows.withColumn("_turn", F.last(_turn(spec.op), ignorenulls=True).over(so_far))
+        rows = rows.where(~_ghost(spec.op, F.col("_turn")))
+        loose = F.coalesce((F.col(spec.op) == UPDATE) & F.col("_turn").isNull(), F.lit(False))
+    state = _state(spec)
+    rows = rows.withColumn("_loose", loose).withColumns({"_head_any": F.row_number().over(w) == 1, "_before": F.lag(state).over(w)})
+    marks = {"_changed_any": ~F.col("_head_any") & ~state.eqNullSafe(F.col("_before"))}
+    if spec.op is not None:
+        earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+        rows = rows.withColumn("_firm_before", F.last(F.when(~F.col("_loose"), state), ignorenulls=True).over(earlier))
+        marks["_head_firm"] = ~F.col("_loose") & F.col("_firm_before").isNull()
+        marks["_changed_firm"] = ~F.col("_loose") & F.col("_firm_before").isNotNull() & ~state.eqNullSafe(F.col("_firm_before"))
+    rows = rows.withColumns(marks).drop("_before", "_firm_before")
+    path = scratch_path(df.sparkSession, "history-chunks")
+    rows.write.parquet(path)
+    return df.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _chunk_edges(rows: DataFrame, spec: History) -> DataFrame:
+    """Per entity and chunk: whether its loose rows are ghosts, whether its first row opens
+    a version, and when the next chunk's first version opens. One row per chunk is
+    summed up from the rows; the rest is over those."""
+    state, start = _state(spec), _start(spec)
+    sides = {"any": F.lit(True), "firm": ~F.col("_loose")} if spec.op is not None else {"any": F.lit(True)}
+    sums = []
+    for side, own in sides.items():
+        at = F.when(own, F.struct(spec.moment))
+        sums += [
+            F.min_by(state, at).alias(f"_first_{side}"), F.max_by(state, at).alias(f"_last_{side}"),
+            F.min(F.when(own, start)).alias(f"_first_at_{side}"), F.min(F.when(F.col(f"_changed_{side}"), start)).alias(f"_inner_at_{side}"),
+        ]
+    if spec.op is not None:
+        sums.append(F.max_by("_turn", F.struct(spec.moment)).alias("_end_turn"))
+    chunks = rows.groupBy("_key", "_chunk").agg(*sums)
     along = Window.partitionBy("_key").orderBy("_chunk")
-    later = along.rowsBetween(1, Window.unboundedFollowing)
-    edges = chunks.withColumn("_head_opens", ~F.col("_first").eqNullSafe(F.lag("_last").over(along)))
-    edges = edges.withColumn(
-        "_opens_at", F.when(F.col("_head_opens"), F.col("_first_at")).otherwise(F.col("_inner_at"))
-    )
-    edges = edges.select(
-        "_key", "_chunk", "_head_opens", F.first("_opens_at", ignorenulls=True).over(later).alias("_next_at")
-    )
-    opened = rows.join(edges, ["_key", "_chunk"]).where(
-        F.when(F.col("_head"), F.col("_head_opens")).otherwise(F.col("_changed"))
-    )
+    before, later = along.rowsBetween(Window.unboundedPreceding, -1), along.rowsBetween(1, Window.unboundedFollowing)
+    firm = F.lit(False)
+    if spec.op is not None:
+        firm = F.coalesce(F.last("_end_turn", ignorenulls=True).over(before) == DELETE, F.lit(False))
+    chunks = chunks.withColumn("_firm", firm)
+
+    def chosen(name: str) -> Column:
+        return F.when(F.col("_firm"), F.col(f"{name}_firm")).otherwise(F.col(f"{name}_any")) if spec.op is not None else F.col(f"{name}_any")
+
+    chunks = chunks.select("_key", "_chunk", "_firm", *[chosen(n).alias(n) for n in ("_first", "_last", "_first_at", "_inner_at")])
+    opens = F.col("_first").isNotNull() & ~F.col("_first").eqNullSafe(F.last("_last", ignorenulls=True).over(before))
+    chunks = chunks.withColumn("_head_opens", opens)
+    opens_at = F.when(F.col("_head_opens"), F.col("_first_at")).otherwise(F.col("_inner_at"))
+    next_at = F.first("_opens_at", ignorenulls=True).over(later).alias("_next_at")
+    return chunks.withColumn("_opens_at", opens_at).select("_key", "_chunk", "_firm", "_head_opens", next_at)
+
+
+def _versions_by_chunk(df: DataFrame, spec: History) -> DataFrame:
+    """Versions of entities cut along time; the result is that of `_versions`.
+
+    The rows are read and shuffled once and stored with their chunk's view of them; one
+    summary of a row per chunk then decides.
+    """
+    rows = _passed(df, spec)
+    marked = rows.join(_chunk_edges(rows, spec), ["_key", "_chunk"])
+    head, changed = F.col("_head_any"), F.col("_changed_any")
+    if spec.op is not None:
+        head = F.when(F.col("_firm"), F.col("_head_firm")).otherwise(head)
+        changed = F.when(F.col("_firm"), F.col("_changed_firm")).otherwise(changed)
+    opened = marked.where(F.when(head, F.col("_head_opens")).otherwise(changed))
+    opened = opened.withColumns({"_state": _state(spec), "valid_from_ts": _start(spec)})
+    w = Window.partitionBy("_key", "_chunk").orderBy(spec.moment)
     ends = F.coalesce(F.lead("valid_from_ts").over(w), F.col("_next_at"), open_end())
-    opened = opened.withColumn("valid_to_ts", ends)
-    return opened.drop("_key", "_chunk", "_head", "_changed", "_head_opens", "_next_at")
+    return opened.select(*[F.col(f"`{c}`") for c in df.columns if c != "_chunk"], "_state", "valid_from_ts", ends.alias("valid_to_ts"))
 
 
 def build_history(

@@ -87,9 +87,11 @@ def tag_keyless(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def tag_unreadable(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Tag the rows where a typed column's text does not fit; `_raw` keeps them as they came."""
+    """Tag the rows where a typed column's text does not fit; `_raw` keeps them as they came,
+    and so it does for rows that were found unreadable before."""
     bad = unreadable(df, types)
-    raw = F.when(bad, F.to_json(F.struct(*[quoted(c) for c in df.columns if c != REASON])))
+    known = F.coalesce(F.col(REASON) == UNREADABLE, F.lit(False)) if REASON in df.columns else F.lit(False)
+    raw = F.when(bad | known, F.to_json(F.struct(*[quoted(c) for c in df.columns if c != REASON])))
     return tag(df.withColumn(RAW, raw), [Rule(UNREADABLE, bad)])
 
 

@@ -129,35 +129,35 @@ def committed_batches(spark: SparkSession, lake: Lake, name: str) -> list[str]:
 def load_references(spark: SparkSession, lake: Lake) -> list[str]:
     """Load every reference file that changed since it was last loaded; returns their names.
 
-    A missing file fails before anything is written. A file of the same length and
-    change time is not opened; one that was only touched is known by its digest. A
-    changed file becomes a batch of its own, and the newest batch is the reference.
+    A missing file fails before anything is written. Files of the same length and
+    change time are not opened; those that were only touched are known by their digest. A
+    changed one becomes a batch of its own, and the newest batch is the reference.
     """
-    found = {}
+    found: dict[str, list[Row]] = {}
     for name in lake.references:
         try:
-            listed = list_files(spark, lake.landing(name)).collect()
+            found[name] = list_files(spark, lake.landing(name)).collect()
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            continue
-        if listed:
-            found[name] = listed[0]
-    require(found, list(lake.references))
+    require({name: entries for name, entries in found.items() if entries}, list(lake.references))
     changed, moment = [], F.lit(utc_now()).cast("timestamp")
-    for name, entry in found.items():
-        last = last_commit(read_ledger(spark, lake.ledger(name)))
-        if last and (last["modified"], last["length"]) == (entry["modified"], entry["length"]):
-            continue
-        content = spark.read.format("binaryFile").load(lake.landing(name))
-        digest = content.select(F.sha2("content", 256).alias("digest")).first()["digest"]
+    for name, entries in found.items():
+        ledger = read_ledger(spark, lake.ledger(name))
+        last = last_commit(ledger)
+        if last:
+            known = ledger.where(F.col("batch") == last["batch"]).select("path", "length", "modified").collect()
+            if set(known) == set(entries):
+                continue
+        content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(lake.landing(name))
+        digests = content.where("length > 0").agg(F.sort_array(F.collect_list(F.sha2("content", 256))).alias("all"))
+        digest = digests.select(F.sha2(F.array_join("all", "").cast("binary"), 256)).first()[0]
         if last and last["digest"] == digest:
             continue
         rows = sorted_columns(read_csv(spark, lake.landing(name)))
         stamped = stamp(rows.withColumn("_row_id", row_identity(rows.columns)), lake.references[name].system, moment)
         batch = f"reference-{digest[:20]}"
         write_table(stamped, f"{lake.bronze(name)}/batch={batch}")
-        taken = spark.createDataFrame([(entry["path"], entry["length"], entry["modified"])], ENTRY)
-        record(taken, lake.ledger(name), batch, stamped.columns, digest)
+        record(spark.createDataFrame(entries, ENTRY), lake.ledger(name), batch, stamped.columns, digest)
         changed.append(name)
     return changed

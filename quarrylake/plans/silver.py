@@ -1,8 +1,9 @@
 """Typed, cleaned and deduplicated tables.
 
 Each function takes the raw text tables it needs and returns the kept and the
-rejected rows. Duplicates go first, on the raw text, so that the parsing is done
-once per row that stays. Nothing here reads or writes; the one job started is the probe
+rejected rows. Duplicates go first where rows are told by a key of their own, on the
+raw text, so that only the rows that stay are parsed; riders and vehicles are tagged and
+cast before, as their rejects are kept beside their survivors. Nothing here reads or writes; the one job started is the probe
 for hot keys, over the raw key column, before a join of two large tables.
 """
 
@@ -119,6 +120,7 @@ def rides(raw: DataFrame, known_cities: DataFrame) -> Parted:
     )
     zone = F.col("timezone")
     zoned = add_attributes(raw, "city_id", known_cities, ["timezone"])
+    zoned = tag(zoned, [Rule(UNREADABLE, times.beyond_timestamps(F.col(c))) for c in ("updated_at", "start_ts", "end_ts")])
     zoned = zoned.withColumn("updated_at", times.instant(F.col("updated_at"), zone))
     clean = typed(tag_keyless(keep_latest(zoned, ["ride_id"], "updated_at", nulls_apart=True), ["ride_id"]), "rides")
     clean = clean.withColumns({c: times.instant(F.col(c), zone) for c in ("start_ts", "end_ts")})
@@ -160,7 +162,8 @@ def telemetry(
     raw: DataFrame, known_vehicles: DataFrame, known_cities: DataFrame, hot_rows: int = HOT_ROWS
 ) -> Parted:
     """One row per event, in UTC and on the 0-1 battery scale; unregistered vehicles are flagged."""
-    clean = typed(tag_keyless(keep_one(raw, ["event_id"], nulls_apart=True), ["event_id"]), "telemetry")
+    once = tag_keyless(keep_one(raw, ["event_id"], nulls_apart=True), ["event_id"])
+    clean = typed(tag(once, [Rule(UNREADABLE, times.beyond_timestamps(F.col("ts")))]), "telemetry")
     zones_of = known_cities.select(F.col("city_id").alias("city"), "timezone")
     clean = add_attributes(clean, "city", zones_of, ["timezone"])
     clean = mark_members(clean, "vehicle_id", known_vehicles, "is_registered_vehicle",

@@ -12,7 +12,7 @@ from quarrylake.plans.bronze import ENDINGS, load_new, read_bronze
 from quarrylake.queries.registry import query, table
 from quarrylake.session import scratch_path
 from quarrylake.sources.files import bind, first_key, key_inventory, list_files, pending, record, read_ledger
-from quarrylake.sources.readers import read_csv, read_documents, read_source, read_xml
+from quarrylake.sources.readers import declared_documents, declared_xml, read_csv, read_source
 from quarrylake.sources.tables import append_rejects, read_table, stamp, write_table
 from quarrylake.spec import Lake, Source
 from quarrylake.streaming.ingest import ingest_available
@@ -71,7 +71,7 @@ def ndjson_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "ndjson")
     events = table(spark, sf_dir, "events").withColumn("props", F.from_json("props", "k long"))
     events.write.partitionBy("event_type").json(path)
-    source = Source("events", "Web", "ndjson", "events", ("event_type",))
+    source = Source("events", "Web", "ndjson", "events", ("event_type",), fields=("event_id", "ts", "user_id", "value", "props.k"))
     return read_source(spark, path, source).select(
         F.col("event_id").cast("bigint"), F.col("user_id").cast("bigint"), "event_type",
         F.col("props_k").cast("bigint"),
@@ -96,6 +96,8 @@ def _order_documents(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+ORDER_FIELDS = ("o_orderkey", "kind", "amount", "source", "currency.code")
+
 DOCUMENT_SQL = """
 SELECT o_orderkey, 'gross' AS kind, o_totalprice AS amount, 'till' AS source, 'EUR' AS currency_code {extra}
 FROM orders
@@ -107,7 +109,7 @@ SELECT o_orderkey, 'half', o_totalprice / 2, 'till', 'EUR' {extra} FROM orders
 @query(DOCUMENT_SQL.format(extra=""))
 def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows inside documents; the envelope is dropped."""
-    rows = read_documents(spark, _order_documents(spark, sf_dir), "records", one_per_line=True)
+    rows = declared_documents(spark, _order_documents(spark, sf_dir), "records", ORDER_FIELDS, one_per_line=True)
     return rows.select(
         F.col("o_orderkey").cast("bigint"), "kind", F.col("amount").cast("double"), "source", "currency_code"
     )
@@ -116,7 +118,8 @@ def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(DOCUMENT_SQL.format(extra=", o_orderstatus AS status"))
 def document_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The envelope repeated on each row; `source` of the element wins."""
-    rows = read_documents(spark, _order_documents(spark, sf_dir), "records", envelope=True, one_per_line=True)
+    fields = (*ORDER_FIELDS, "status")
+    rows = declared_documents(spark, _order_documents(spark, sf_dir), "records", fields, envelope=True, one_per_line=True)
     return rows.select(
         F.col("o_orderkey").cast("bigint"), "kind", F.col("amount").cast("double"), "source",
         "currency_code", "status",
@@ -137,7 +140,7 @@ def xml_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.lit("none"), F.col("c_mktsegment")).alias("segment"),
     )
     customers.write.format("xml").option("rootTag", "events").option("rowTag", "event").save(path)
-    return read_xml(spark, path, "event").select(
+    return declared_xml(spark, path, "event", ("@id", "name", "balance", "balance.@currency", "segment")).select(
         F.col("id").cast("bigint"), "name", F.col("balance").cast("double"), "balance_currency", "segment"
     )
 
@@ -345,6 +348,6 @@ def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         _land_orders(spark, sf_dir, lake, late)
         ingest_available(spark, lake, ORDERS, columns)
     ingest_available(spark, lake, ORDERS, columns)
-    return read_table(spark, lake.bronze("orders")).select(
+    return read_bronze(spark, lake, "orders").select(
         F.col("o_orderkey").cast("bigint"), F.col("o_totalprice").cast("double"), "o_orderpriority"
     )

@@ -10,7 +10,7 @@ from quarrylake.functions.columns import blank_where, cast_columns, flatten, unr
 from quarrylake.operators.dedupe import distinct_records, keep_latest, keep_one
 from quarrylake.operators.lookup import add_attributes, keep_members, keep_strangers, mark_members
 from quarrylake.operators.quality import (
-    NO_TIMES, ORPHAN_OPERATOR, REASON, REVERSED_TIMES, Rule, describe_rejects, part, tag, tag_orphans,
+    NO_TIMES, ORPHAN_OPERATOR, REASON, REVERSED_TIMES, UNREADABLE, Rule, describe_rejects, part, tag, tag_orphans,
 )
 from quarrylake.operators.skew import HOT_ROWS, find_hot
 from quarrylake.plans.silver import redact_deleted
@@ -297,6 +297,26 @@ def fk_split_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fk_split(spark, sf_dir, 10)
 
 
+@query("""
+SELECT event_id, CASE WHEN event_type = 'view' THEN strftime(date_trunc('millisecond', ts), '%Y-%m-%d %H:%M:%S.%f')
+       WHEN event_type = 'click' THEN strftime(make_timestamp(event_id * 1000), '%Y-%m-%d %H:%M:%S.%f') END AS moment,
+       CASE WHEN event_type NOT IN ('view', 'click') THEN 'Unreadable value' END AS _reject_reason
+FROM events
+""")
+def epoch_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Epoch milliseconds of any length: moments, and rejects where no timestamp holds them."""
+    kind = F.col("event_type")
+    written = (
+        F.when(kind == "view", F.unix_millis("ts").cast("string"))
+        .when(kind == "click", F.lpad(F.col("event_id").cast("string"), 19, "0"))
+        .when(kind == "signup", F.concat(F.unix_millis("ts").cast("string"), F.lit("000000")))
+        .otherwise(F.concat(F.lit("9" * 20), F.col("event_id").cast("string")))
+    )
+    events = table(spark, sf_dir, "events").select("event_id", written.alias("written"))
+    tagged = tag(events, [Rule(UNREADABLE, times.beyond_timestamps(F.col("written")))])
+    return tagged.select("event_id", time_text(times.instant(F.col("written"), F.lit("UTC"))).alias("moment"), REASON)
+
+
 @query("""
 SELECT event_id, CASE WHEN event_type = 'error' AND value < 10 THEN 'Missing Start_ts and End_ts'
        WHEN event_type = 'purchase' AND value > 20 THEN 'Impossible End and Start Timestamps' END AS _reject_reason,

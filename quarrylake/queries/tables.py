@@ -488,6 +488,27 @@ def gold_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.reference(kept, REFERENCES["plans"]).select("plans_sk", "plan_id")
 
 
+@query(f"""
+SELECT sha256(operator_id) AS operators_sk, operator_id, operator_name, CAST(CAST(revenue_share_pct AS DECIMAL(10,1)) AS DOUBLE) AS revenue_share_pct
+FROM {raw_sql('operators')} WHERE revenue_share_pct <> 'all'
+UNION ALL SELECT '-1', NULL, NULL, NULL
+""")
+def gold_operators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = silver.operators(raw(spark, sf_dir, "operators")).kept
+    return plain_columns(gold.reference(kept, REFERENCES["operators"]).select("operators_sk", "operator_id", "operator_name", "revenue_share_pct"))
+
+
+@query(f"""
+SELECT sha256(zone_id || '|~') AS zones_sk, zone_id, zone_name, CAST(NULL AS VARCHAR) AS valid_from, valid_to
+FROM {raw_sql('zones')} WHERE is_current <> 'perhaps'
+UNION ALL SELECT '-1', NULL, NULL, NULL, NULL
+""")
+def gold_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versioned zones, keyed by id and start of validity; none of these starts is a date."""
+    kept = silver.zones(raw(spark, sf_dir, "zones")).kept
+    return plain_columns(gold.reference(kept, REFERENCES["zones"]).select("zones_sk", "zone_id", "zone_name", "valid_from", "valid_to"))
+
+
 @query(f"""{VEHICLES_SQL},
 hashed AS (
   SELECT vehicle_id, CAST(snapshot_date AS TIMESTAMP) AS f, operator_id, sha256(concat_ws('|', firmware_version, 'CTY-1', 'QR',

@@ -88,8 +88,8 @@ def committed_columns(ledger: DataFrame) -> list[str]:
 
 
 def last_commit(ledger: DataFrame) -> dict[str, object] | None:
-    """The newest commit: its batch, digest, and the length and change time of its newest file."""
-    newest = F.max(F.struct("committed", "batch", "digest", "modified", "length")).alias("newest")
+    """The newest commit: its moment, batch and digest."""
+    newest = F.max(F.struct("committed", "batch", "digest")).alias("newest")
     found = ledger.agg(newest).first()["newest"]
     return found.asDict() if found is not None else None
 

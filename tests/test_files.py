@@ -232,3 +232,43 @@ def test_folder_keys_above_the_base_are_not_taken(spark, tmp_path):
     found = files.list_files(spark, str(base))
     assert rows(files.first_key(found, str(base)), "key", "value") == [("dt", "2026-01-01")]
     assert [r.dt for r in files.with_path_keys(found, ["dt"]).collect()] == ["2026-01-01"]
+
+
+def test_declared_lines_in_one_pass(spark, tmp_path):
+    put(tmp_path, "a.json", '{"id":1,"v":1.50,"o":{"a":true,"b":{"c":2,"d":null}},"l":["x"],"new":{"q":1}}\n\n{"id":2,"o":7}\n{"id":\n[1]\n{"id":3,"x":1,"x":2}\n')
+    df = readers.declared_ndjson(spark, str(tmp_path), ("id", "v", "o.a", "o.b.c", "l"))
+    got = {r.id or r._corrupt_record: r for r in df.collect()}
+    assert df.columns == ["id", "v", "o_a", "o_b_c", "l", "_rescued", "_source_file", "_corrupt_record"]
+    assert tuple(got["1"])[:6] == ("1", "1.5", "true", "2", '["x"]', '{"new":"{\\"q\\":1}","o_b_d":null}')
+    assert got["2"]._rescued == '{"o":"7"}' and got["3"]._rescued == '{"x":"2"}'
+    assert set(got) == {"1", "2", "3", '{"id":', "[1]"}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+@pytest.mark.parametrize("envelope", [False, True])
+def test_declared_documents_in_one_pass(spark, tmp_path, envelope):
+    docs = [
+        {"source": "outer", "period": "p", "days": [{"d": 1, "source": "inner", "x": {"y": 2}}, {"d": 2, "n": 5}]},
+        {"days": []}, {"days": [1, 2]}, {"days": {"a": 1}}, {"e": 1}, {"days": [None, {"d": 3}]},
+    ]
+    for i, doc in enumerate(docs):
+        put(tmp_path, f"{i}.json", json.dumps(doc, indent=1))
+    put(tmp_path, "cut.json", '{"days": [{"d": 9, ')
+    df = readers.declared_documents(spark, str(tmp_path), "days", ("d", "source", "period", "x.y"), envelope)
+    good = rows(df.where("_corrupt_record IS NULL"), "d", "source", "period", "x_y", "_rescued")
+    outer = ("outer", "p") if envelope else (None, None)
+    assert good == [("1", "inner", outer[1], "2", None), ("2", *outer, None, '{"n":"5"}')]
+    unread = sorted(r._source_file.split("/")[-1] for r in df.where("_corrupt_record IS NOT NULL").collect())
+    assert unread == ["2.json", "3.json", "4.json", "5.json", "cut.json"]
+    assert df.where("_corrupt_record IS NOT NULL AND d IS NOT NULL").count() == 0
+
+
+def test_declared_xml_in_one_pass(spark, tmp_path):
+    put(tmp_path, "m.xml", """<?xml version="1.0"?><events>
+      <event id="007"><cost currency="EUR">12.50</cost><part n="1">a</part><part>b</part><who/><odd a="1">x</odd></event>
+      <event id="8"><cost>3</cost></event></events>""")
+    df = readers.declared_xml(spark, str(tmp_path), "event", ("@id", "cost", "cost.@currency", "part", "part.@n", "who"))
+    assert rows(df, "id", "cost", "cost_currency", "part", "part_n", "who") == [
+        ("007", "12.50", "EUR", "b", "1", None), ("8", "3", None, None, None, None)]
+    assert [r[0] is not None and "x" in r[0] for r in rows(df.orderBy("id"), "_rescued")].count(True) == 1

@@ -139,3 +139,16 @@ def test_column_layout(spark):
     assert tuple(blanked) == (None, "x", None)
     both = columns.union_by_name(df.select("c", "a"), df.select("b", "c"))
     assert sorted(map(tuple, both.collect()), key=str) == [(1, "x", None), (1, None, "y")]
+
+
+def test_epoch_texts_of_any_length(spark):
+    from quarrylake.functions import times
+
+    texts = ["0", "1784936157000", "000000000001784936157000", "9223372036854775", "9223372036854776", "1" * 19, "9" * 40, "12a", None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(times.epoch_millis(F.col("t")).alias("n"), times.beyond_timestamps(F.col("t")).alias("lost")).collect()
+    assert [r.lost for r in got] == [False, False, False, False, True, True, True, False, False, False]
+    assert [r.n for r in got[:4]] == [0, 1784936157000, 1784936157000, 9223372036854775]
+    assert [r.n for r in got[4:]] == [None] * 6
+    moments = df.select(F.unix_micros(times.instant(F.col("t"), F.lit("UTC"))).alias("us")).collect()
+    assert [r.us for r in moments] == [0, 1784936157000000, 1784936157000000, 9223372036854775000] + [None] * 6
