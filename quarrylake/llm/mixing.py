@@ -160,4 +160,6 @@ def mix(docs: DataFrame, share: float, epochs: int, weights: Mapping[str, Mappin
     """The rows of `docs` that the mixture takes, once per epoch, columns unchanged."""
     chosen = selection(counted(docs, domain), share, epochs, weights, seed)
     release(docs.sparkSession)
-    return copies(docs.withColumns(named(docs, domain)), chosen, seed).select(*docs.columns)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")  # no name of a column can clash inside
+    rows = docs.select(row, "doc_id", *[c.alias(n) for n, c in named(docs, domain).items()])
+    return copies(rows, chosen, seed).select("__row.*")

@@ -370,31 +370,36 @@ def link_classes(docs: DataFrame, sig: DataFrame, classes: DataFrame, buckets: D
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row of `docs`: doc_id, text_hash, n_shingles, component_id (least doc_id
-    reachable over links) and kept (doc_id equals component_id)."""
+    reachable over links), kept (doc_id equals component_id) and first_hash, the
+    text_hash of the one row, by doc_id and text_hash, that stands for the component."""
     sig = stored(signatures(docs), "neardup-signatures")
     classes = classes_of(sig)
     buckets = crowded_buckets(sig, classes)
     release(docs.sparkSession)
     labels = link_classes(docs, sig, classes, buckets)
     joined = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = joined.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    ends = stored(joined.join(least, "label").select("set_a", "set_b", "component_id"), "neardup-components")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
+    least = joined.groupBy("label").agg(F.min(order).alias("least"))
+    ends = joined.join(least, "label").select("set_a", "set_b", F.col("least.doc_id").alias("component_id"), F.col("least.text_hash").alias("first_hash"))
+    ends = stored(ends, "neardup-components")
     linked = sig.filter("n_shingles > 0").select("doc_id", "text_hash", "n_shingles", "set_a", "set_b").join(ends, ["set_a", "set_b"]).drop("set_a", "set_b")
-    alone = sig.filter("n_shingles = 0").select("doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id"))
+    alone = sig.filter("n_shingles = 0").select("doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id"), F.col("text_hash").alias("first_hash"))
     return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row of each component, columns unchanged; every row without words stays."""
+    """One row of each component, columns unchanged; every row without words stays.
+
+    It is the first row by doc_id, null last, and text; of rows that repeat both, one.
+    """
     judged = near_duplicates(docs)
-    keys = judged.filter("kept and n_shingles > 0").groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-    kept = stored(keys.agg(F.count(F.lit(1)).alias("__copies")), "neardup-kept")
+    first = judged.filter("kept and n_shingles > 0 and text_hash = first_hash")
+    kept = first.groupBy(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")).agg(F.count(F.lit(1)).alias("copies"))
+    kept = stored(kept, "neardup-kept")
     release(docs.sparkSession)
-    rows = docs.withColumn("__text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    full = rows.filter(F.col("text").rlike(WORD))
-    chosen = full.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")))
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")  # no name of a column can clash inside
+    rows = docs.select(own, "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), F.coalesce(F.col("text").rlike(WORD), F.lit(False)).alias("full"))
+    chosen = rows.filter("full").join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_hash") == F.col("kept_hash")))
     # Only rows that repeat id and text need another look, and only they are shuffled for it.
-    once = chosen.filter("__copies = 1").unionByName(chosen.filter("__copies > 1").dropDuplicates(["__id", "__hash"]))
-    empty = rows.filter(F.col("text").isNull() | ~F.col("text").rlike(WORD))
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    return once.select(*names).unionByName(empty.select(*names))
+    once = chosen.filter("copies = 1").unionByName(chosen.filter("copies > 1").dropDuplicates(["kept_id", "kept_hash"]))
+    return once.select("own.*").unionByName(rows.filter("not full").select("own.*"))

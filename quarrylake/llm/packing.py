@@ -2,8 +2,9 @@
 
 Pieces are counted by length, a histogram of at most `CAPACITY` numbers. Patterns
 of one to three lengths that fill a sequence are its columns, and non-negative
-least squares says how often each pattern repeats. Repeats are rounded down and
-never beyond what is left; residual pieces are packed best-fit on the histogram.
+least squares says how often each pattern repeats. Repeats are rounded and never
+beyond what is left; residual pieces are packed best-fit on the histogram. Where no
+pattern helps, and all pieces best-fit need fewer sequences, all are the residual.
 The result is a list of (lengths, repeats): its size depends on the capacity,
 not on the corpus. Each piece then finds its place from its rank among the
 pieces of its length, by looking up a table, so no task gathers a length.
@@ -173,7 +174,9 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tupl
             if n:
                 chosen.append((tuple(used.elements()), n))
                 left.subtract({v: k * n for v, k in used.items()})
-    return chosen + best_fit(+left, capacity)
+    chosen += best_fit(+left, capacity)
+    residual_only = best_fit(Counter({length: n for length, n in histogram.items() if n}), capacity)
+    return min(chosen, residual_only, key=lambda found: sum(n for _, n in found))
 
 
 class Places:

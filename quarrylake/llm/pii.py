@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarrylake.llm.common import release, stored
 
@@ -142,7 +143,8 @@ def observe(docs: DataFrame) -> DataFrame:
     """
     nested = "__row" in docs.columns
     names = [c for c in docs.columns if nested or c != "text"]
-    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names] + [f"__spans {SPAN_SQL}", f"__seen {SEEN_SQL}"]
+    own = {field.name: field for field in docs.schema.fields}
+    schema = T.StructType([own[c] for c in names]).add("__spans", T.DataType.fromDDL(SPAN_SQL)).add("__seen", T.DataType.fromDDL(SEEN_SQL))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
@@ -155,7 +157,7 @@ def observe(docs: DataFrame) -> DataFrame:
             columns = [rows.column(c) for c in names] + [pa.array(spans, pa.list_(SPAN)), pa.array(seen, pa.list_(SEEN))]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "__spans", "__seen"])
 
-    rows = docs.mapInArrow(each, ", ".join(fields))
+    rows = docs.mapInArrow(each, schema)
     return stored(rows.withColumn("__id", F.monotonically_increasing_id()), "pii-observed")
 
 

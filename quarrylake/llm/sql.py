@@ -76,9 +76,9 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {k}
 
 
 def license_sql(phrases, templates, containment: float) -> str:
-    """Phrases by comparing slices of the word list, templates by intersecting every line with each."""
+    """Phrases by comparing slices of the word list; templates by counting their words in
+    every block that starts with one of them."""
     signs = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-    lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     listed = ", ".join(f"({k}, '{label}', '{text}')" for k, (label, text) in enumerate(templates))
     starts = [
         f"[i - 1 FOR i IN range(1, len(w) + 1) IF w[i:i + {len(p.split()) - 1}] = {p.split()!r}]" for p, _ in phrases
@@ -87,15 +87,21 @@ def license_sql(phrases, templates, containment: float) -> str:
     joined = " || ".join(f"at_{k}" for k in range(len(phrases)))
     base = ", ".join(f"CASE WHEN len(at_{k}) > 0 THEN '{label}' END" for k, (_, label) in enumerate(phrases))
     return f"""
-WITH docs AS (SELECT row_number() OVER () AS id, doc_id, {lower.format("coalesce(text, '')")} AS t FROM documents),
+WITH docs AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '{signs}') AS w FROM documents),
 templates(k, label, t) AS (VALUES {listed}),
-owned AS (SELECT k, label, list_distinct(regexp_extract_all({lower.format('t')}, '{signs}')) AS own FROM templates),
-lines AS (SELECT id, list_distinct(regexp_extract_all(line, '{signs}')) AS held FROM (SELECT id, unnest(string_split(t, chr(10))) AS line FROM docs)),
-met AS (SELECT id, label, len(list_intersect(held, own))::DOUBLE / len(own) AS share FROM lines, owned
-  WHERE len(list_intersect(held, own)) >= ceil({containment} * len(own) - 1e-9)),
-found AS (SELECT id, list(DISTINCT label) AS labels, max(share) AS share FROM met GROUP BY id),
-words AS (SELECT id, doc_id, regexp_extract_all(t, '{signs}') AS w FROM docs),
-placed AS (SELECT id, doc_id, len(w)::BIGINT AS n_words, {columns} FROM words),
+parted AS (SELECT k, label, regexp_extract_all({LOWER.format('t')}, '{signs}') AS w FROM templates),
+owned AS (SELECT k, label, list_distinct(w) AS own, len(list_distinct(w)) AS size, (3 * len(w) + 1) // 2 AS length FROM parted),
+twins AS (SELECT a.k AS a, b.k AS b FROM owned a JOIN owned b ON a.k <> b.k AND len(list_intersect(a.own, b.own)) >= ceil({containment} * a.size - 1e-9)),
+vocabulary AS (SELECT k, size, length, unnest(own) AS word FROM owned),
+words AS (SELECT id, unnest(range(len(w))) AS i, unnest(w) AS word FROM docs),
+held AS MATERIALIZED (SELECT id, i, word, k, size, length FROM words JOIN vocabulary USING (word)),
+blocks AS (SELECT s.id, s.k, s.i, s.size, s.length, count(DISTINCT h.word) AS met FROM held s
+  JOIN held h ON h.id = s.id AND h.k = s.k AND h.i >= s.i AND h.i < s.i + s.length GROUP BY ALL),
+enough AS MATERIALIZED (SELECT id, k, i, i + length AS past, met, met::DOUBLE / size AS share FROM blocks WHERE met >= ceil({containment} * size - 1e-9)),
+best AS MATERIALIZED (SELECT * FROM enough e WHERE NOT EXISTS (SELECT 1 FROM enough o JOIN twins t ON t.a = e.k AND t.b = o.k
+  WHERE o.id = e.id AND o.i < e.past AND e.i < o.past AND (o.share > e.share OR (o.share = e.share AND o.met > e.met)))),
+found AS (SELECT id, list(DISTINCT label) AS labels, max(share) AS share FROM best JOIN owned USING (k) GROUP BY id),
+placed AS (SELECT id, doc_id, len(w)::BIGINT AS n_words, {columns} FROM docs),
 based AS (SELECT id, doc_id, n_words, {joined} AS starts, [x FOR x IN list_sort([{base}]) IF x IS NOT NULL] AS base FROM placed)
 SELECT doc_id, n_words, len(starts)::BIGINT AS n_base, list_min(starts)::BIGINT AS first_word, list_max(starts)::BIGINT AS last_word,
   array_to_string(base, ',') AS base_labels, array_to_string(list_sort(list_distinct(base || coalesce(labels, []))), ',') AS labels,

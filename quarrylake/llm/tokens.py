@@ -35,14 +35,15 @@ class TokenIds(dict):
 
     The pre-tokeniser never joins letters, digits or signs across a space, and a
     single space goes with what follows it, so a text without adjacent blanks is
-    the sum of its chunks.
+    the sum of its chunks. A text that spells out a special token of the vocabulary
+    goes to `tokenizers` whole, which gives that token's own id.
     """
 
     def __init__(self, vocabulary: str) -> None:
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.slow = Tokenizer.from_file(vocabulary)
-        self.slow.encode_special_tokens = True
+        self.special = [token.content for token in self.slow.get_added_tokens_decoder().values()]
         self.fast = None
         ranks_file = vocabulary.removesuffix(".json") + ".tiktoken"
         if os.path.exists(ranks_file):
@@ -66,6 +67,8 @@ class TokenIds(dict):
         return ids
 
     def of(self, text: str) -> bytes:
+        if any(token in text for token in self.special):
+            return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if TWO_BLANKS.search(text):
             return self.encode(text)
         first, *chunks = text.split(" ")

@@ -1,4 +1,5 @@
-import itertools
+import math
+import random
 import re
 
 from corpus import empty_documents, lowered, odd_documents
@@ -22,28 +23,66 @@ def plain(text):
         places += at
         if at:
             base.add(label)
-    shares = {}
-    for line, (label, template) in itertools.product((text or "").split("\n"), licenses.TEMPLATES):
-        own = set(WORD.findall(lowered(template)))
-        share = len(own & set(WORD.findall(lowered(line)))) / len(own)
-        if share >= licenses.CONTAINMENT - 1e-9:
-            shares[label] = max(share, shares.get(label, 0))
-    score = max(shares.values(), default=0.5 if base else 0.0)
-    return len(split), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(base | set(shares))), score
-
-
-def test_against_all_lines_and_templates(spark):
-    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").repartition(3)
-    got = {r.doc_id: r for r in licenses.license_labels(docs).collect()}
-    for i, text in enumerate(TEXTS):
+    sets = [set(WORD.findall(lowered(t))) for _, t in licenses.TEMPLATES]
+    met = []
+    for k, (_, template) in enumerate(licenses.TEMPLATES):
+        length = math.ceil(1.5 * len(WORD.findall(lowered(template))))
+        for i in (i for i, w in enumerate(split) if w in sets[k]):
+            n = len(sets[k] & set(split[i:i + length]))
+            if n / len(sets[k]) >= licenses.CONTAINMENT - 1e-9:
+                met.append((k, i, i + length, n / len(sets[k]), n))
+    twin = lambda a, b: a != b and len(sets[a] & sets[b]) / len(sets[a]) >= licenses.CONTAINMENT - 1e-9
+    best = [m for m in met if not any(twin(m[0], o[0]) and o[1] < m[2] and m[1] < o[2] and o[3:] > m[3:] for o in met)]
+    labels = {licenses.TEMPLATES[m[0]][0] for m in best}
+    score = max((m[3] for m in best), default=0.5 if base else 0.0)
+    return len(split), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(base | labels)), score
+
+
+def found(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    return {r.doc_id: r for r in licenses.license_labels(docs).collect()}
+
+
+NOTICE = """it under the terms of the GNU {}General Public License as
+# published by the Free Software Foundation, either version 3 of the License,
+# or any later version"""
+GRANT = "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software and associated\ndocumentation files"
+CLAUSE = "Redistribution and use in source and binary forms, with or\n  without modification, are permitted provided that\n  the following conditions are met"
+
+
+def test_against_all_blocks_and_templates(spark):
+    draw = random.Random(1)
+    vocabulary = sorted({w for _, t in licenses.TEMPLATES for w in WORD.findall(lowered(t))})
+    texts = TEXTS + [" ".join(draw.choice(vocabulary) if draw.random() < 0.8 else "filler" for _ in range(draw.randrange(120))) for _ in range(60)]
+    for _ in range(40):
+        parts = [t for _, t in draw.sample(licenses.TEMPLATES, 2)]
+        split = " some words between ".join(parts).split()
+        texts.append("\n".join(" ".join(w for w in split if draw.random() < 0.93).split(" ")))
+    got = found(spark, texts)
+    for i, text in enumerate(texts):
         r = got[i]
-        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score) == plain(text), i
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score) == plain(text), (i, text)
+
+
+def test_one_family_gives_one_label(spark):
+    names = ("", "Lesser ", "Affero ")
+    texts = [NOTICE.format(n) for n in names] + [NOTICE.format(n).split(", either")[0] for n in names[1:]]
+    texts.append(NOTICE.format("") + " filler" * 80 + " " + NOTICE.format("Lesser "))
+    got = [found(spark, texts)[i].labels for i in range(len(texts))]
+    gpl, lgpl, agpl = (f"spdx:{x}-3.0-or-later" for x in ("gpl", "lgpl", "agpl"))
+    assert got == [f"gpl,{gpl}", lgpl, agpl, lgpl, agpl, f"gpl,{gpl},{lgpl}"]
+
+
+def test_notices_over_several_lines(spark):
+    got = found(spark, [GRANT, CLAUSE, "so\n" + GRANT + "\n\n" + CLAUSE + "\nand on", GRANT.replace("\n", " x" * 40 + " ")])
+    assert [got[i].labels for i in range(4)] == ["spdx:mit", "spdx:bsd", "spdx:bsd,spdx:mit", ""]
+    assert [got[i].score for i in range(4)] == [1.0, 1.0, 1.0, 0.0]
 
 
-def test_blocks_name_their_line(spark):
-    docs = spark.createDataFrame([(1, "x\nReleased under the MIT License.\ny\nreleased under the mit")], "doc_id long, text string")
-    got = sorted((r.line, r.label, r.share) for r in licenses.license_blocks(docs).collect())
-    assert got == [(1, "spdx:mit", 1.0), (3, "spdx:mit", 0.8)]
+def test_blocks_name_their_place(spark):
+    docs = spark.createDataFrame([(1, "x\nReleased under the MIT License.\ny y y y y y y y\nreleased under the mit")], "doc_id long, text string")
+    got = sorted((r.first, r.end, r.label, r.share) for r in licenses.license_blocks(docs).collect())
+    assert (1, 9, "spdx:mit", 1.0) in got and (14, 22, "spdx:mit", 0.8) in got and {r[2] for r in got} == {"spdx:mit"}
 
 
 def test_odd_rows(spark):

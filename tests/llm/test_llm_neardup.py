@@ -111,6 +111,16 @@ def test_one_row_of_a_component_stays(spark):
     assert neardup.drop_near_duplicates(empty_documents(spark)).count() == 0
 
 
+def test_one_row_stays_where_ids_are_null_or_shared(spark):
+    base = words(3, 200)
+    near = [" ".join(edited(base, s, 1)) for s in range(3)]
+    for ids in ([None] * 3, [5] * 3, [None, 5, 5], [5, 6, 5]):
+        rows = [*zip(ids, near, strict=True), (9, "another text"), (None, None)]
+        kept = neardup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert len([r for r in kept if r.text in near]) == 1 and len(kept) == 3
+        assert next(r.doc_id for r in kept if r.text in near) == (5 if 5 in ids else None)
+
+
 def test_components_of_long_paths_and_hubs(spark):
     path = [(i, i + 1) for i in range(60)] + [(100, 200 + i) for i in range(50)] + [(300, 301)]
     nodes = spark.createDataFrame([(n,) for n in {x for p in path for x in p} | {999}], "node long")

@@ -17,12 +17,11 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 @pytest.fixture(scope="module")
 def reference():
     tokenizer = Tokenizer.from_file(VOCABULARY)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("text", [
-    "a  b", "a \nb", "x\n\n y", " lead", "trail ", "it's  don't\tyes", "<|endoftext|> hi", "日本語 テキスト", "a  b", "naïve Ünï 12,5 -- #*$", "", "\n", "a\r\n b",
+    "a  b", "a \nb", "x\n\n y", " lead", "trail ", "it's  don't\tyes", "<|endoftext|> hi", "a <|endoftext|> b", "x<|endoftext|>y <|endoftext|", "<|pad|>  é <|endoftext|>", "日本語 テキスト", "a  b", "naïve Ünï 12,5 -- #*$", "", "\n", "a\r\n b",
 ])
 def test_ids_are_those_of_the_vocabulary_file(reference, text):
     ids = TokenIds(VOCABULARY)
@@ -53,6 +52,13 @@ def test_patterns_beat_plain_best_fit_where_it_is_greedy():
     assert sum(n for _, n in packing.best_fit(Counter(histogram), 1024)) == 250
 
 
+def test_a_plan_is_never_worse_than_plain_best_fit():
+    draw = np.random.default_rng(6)
+    for spread in (0.2, 0.3, 0.5):
+        histogram = Counter(np.minimum(1024, draw.lognormal(6.2, spread, 30_000).astype(int) + 1).tolist())
+        assert sum(n for _, n in packing.plan(histogram)) <= sum(n for _, n in packing.best_fit(Counter(histogram), 1024))
+
+
 def test_near_the_bound_on_mixed_lengths():
     draw = np.random.default_rng(5)
     histogram = Counter(np.minimum(1024, draw.lognormal(5.5, 1.0, 20_000).astype(int) + 1).tolist())
