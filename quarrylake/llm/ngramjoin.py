@@ -13,11 +13,13 @@
    key: its members extend their prefixes by one and are indexed under combinations of
    it with every later shingle there; combinations that are crowded again are extended
    to three. A pair whose first common shingle is frequent shares the combination of its
-   first two, or three. Frequent are keys of `CROWDED` members or more whose combinations
-   are fewer than their pairs; with long prefixes the pairs are the shorter list.
-5. Within a key the places (set size, place of the first and the last of the
-   combination) meet before their members do: what stands before the first place is not
-   shared, what follows the last bounds the rest. Bitmaps rule out more; the rest is
+   first two, or three. Frequent are keys of `CROWDED` members or more that fall apart
+   under their combinations; where the same members meet again under most of them, as in
+   a family of forms, combinations only repeat the key, and it is joined as it is.
+5. Within a key the places (set size, place of the last of the combination) meet before
+   their members do: what follows the last place bounds what can be shared. A pair counts
+   under one key alone, that of its first common shingles: what stands ahead of the last
+   place must share one shingle less than the key has. Bitmaps rule out more; the rest is
    confirmed on full sets, read for these members only. Every link between different
    components comes out; no key has a cap.
 
@@ -50,6 +52,7 @@ CROWDED = 64  # members from which a key is extended by one more shingle
 LONGEST = 3  # shingles in the longest combination; crowded keys of that length are joined as they are
 # Two different sets above the threshold share at least nine shingles, so no combination is too long for a link.
 
+FEWER = 2  # a key is extended if its combinations hold less than one pair in so many of its own
 SETTLED = 20  # the rounds of one centre a bucket end when they link less than one in so many members
 
 SLICE = 500  # texts held as arrays at a time
@@ -261,41 +264,45 @@ class Join:
                 return self.open_keys(self.keys) if linked else rows
 
     def pairs_within(self, rows: DataFrame, k: int) -> DataFrame:
-        """Pairs of different components that share a key of k shingles, at places that allow a link."""
-        end = lambda df, name: df.withColumnsRenamed({c: f"{c}_{name}" for c in ("node", "label", "n", "first", "last")})
-        place = ["key", "n", "first", "last"]
+        """Pairs of different components whose first k common shingles are a key, at places that allow a link."""
+        end = lambda df, name: df.withColumnsRenamed({c: f"{c}_{name}" for c in ("node", "label", "n", "last", "head")})
+        place = ["key", "n", "last"]
         places = rows.select(*place).distinct()
         left = F.least(F.col("n_a") - F.col("last_a"), F.col("n_b") - F.col("last_b")) - 1
         meeting = end(places, "a").join(end(places, "b"), "key").filter((F.col("n_a") <= F.col("n_b")) & may_link(left + k))
-        held = rows.select(*place, "node", "label")
-        met = meeting.join(end(held, "a"), ["key", "n_a", "first_a", "last_a"]).join(end(held, "b"), ["key", "n_b", "first_b", "last_b"])
-        return met.filter("label_a <> label_b and (n_a < n_b or node_a < node_b)").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-
-    def crowded(self, rows: DataFrame, k: int) -> DataFrame:
-        """The rows with a flag for keys of k shingles of which combinations are made."""
-        if k == LONGEST:
-            return rows.withColumn("crowded", F.lit(False))
-        made = rows.filter(F.col("size") >= CROWDED).groupBy("key").agg(F.sum(later_shingles(k)).alias("made"), F.max("size").alias("many"))
-        keys = made.filter(2 * F.col("made") < F.col("many") * (F.col("many") - 1)).select("key", F.lit(True).alias("crowded"))
-        return stored(rows.join(keys, "key", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False))), "ngrams-level")
+        held = rows.select(*place, "node", "label", "head")
+        met = meeting.join(end(held, "a"), ["key", "n_a", "last_a"]).join(end(held, "b"), ["key", "n_b", "last_b"])
+        met = met.filter("label_a <> label_b and (n_a < n_b or node_a < node_b)")
+        first = F.size(F.array_intersect("head_a", "head_b")) == k - 1
+        return met.filter(first).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
     def extended(self, rows: DataFrame, k: int) -> DataFrame:
         """Keys of k shingles extended by every later shingle of the (k + 1)-prefix."""
         later = F.slice("prefix", F.col("last") + 2, later_shingles(k).cast("int"))
-        more = rows.join(self.members.select("node", "prefix"), "node").select("key", "node", "n", "first", "last", F.posexplode(later).alias("after", "shingle"))
-        return more.select(F.xxhash64("key", "shingle").alias("key"), "node", "n", "first", (F.col("last") + F.col("after") + 1).alias("last"))
+        more = rows.join(self.members.select("node", "prefix"), "node").select(F.col("key").alias("parent"), "node", "n", "last", F.posexplode(later).alias("after", "shingle"))
+        return more.select("parent", F.xxhash64("parent", "shingle").alias("key"), "node", "n", (F.col("last") + F.col("after") + 1).alias("last"))
+
+    def headed(self, rows: DataFrame) -> DataFrame:
+        """The rows with the shingles that stand ahead of the last place of their key."""
+        return rows.join(self.members.select("node", "prefix"), "node").withColumn("head", F.slice("prefix", F.lit(1), F.col("last"))).drop("prefix")
 
     def finish(self, rows: DataFrame) -> None:
         """Every link left between different components, by keys of one to `LONGEST` shingles."""
-        level, found = rows.withColumns({"first": F.col("at"), "last": F.col("at")}), None
+        level, found = rows.withColumn("last", F.col("at")).select("key", "node", "n", "last", "label", "size"), None
         for k in range(1, LONGEST + 1):
-            level = self.crowded(level, k)
-            pairs = stored(self.pairs_within(level.filter("not crowded"), k).distinct(), "ngrams-met")
+            apart, more = None, None
+            if k < LONGEST and not (crowded := level.filter(F.col("size") >= CROWDED)).isEmpty():
+                more = stored(self.extended(crowded, k), "ngrams-combinations")
+                sizes = more.groupBy("parent", "key").agg(F.count(F.lit(1)).alias("size"))
+                below = sizes.groupBy("parent").agg(F.sum(F.col("size") * (F.col("size") - 1)).alias("below"))
+                own = crowded.groupBy(F.col("key").alias("parent")).agg(F.count(F.lit(1)).alias("many"))
+                apart = stored(below.join(own, "parent").filter(FEWER * F.col("below") < F.col("many") * (F.col("many") - 1)).select("parent"), "ngrams-apart")
+            ready = level if apart is None else level.join(apart.withColumnRenamed("parent", "key"), "key", "left_anti")
+            pairs = stored(self.pairs_within(stored(self.headed(ready), "ngrams-level"), k), "ngrams-met")
             found = pairs if found is None else found.unionByName(pairs)
-            crowded = level.filter("crowded")
-            if k == LONGEST or crowded.isEmpty():
+            if apart is None or apart.isEmpty():
                 break
-            level = self.open_keys(stored(self.extended(crowded, k), "ngrams-combinations"))
+            level = self.open_keys(more.join(apart, "parent").drop("parent"))
         self.link(self.untested(found))
 
 

@@ -65,26 +65,43 @@ def test_components_are_those_of_all_pairs(spark):
     assert components(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)) == want
 
 
-@pytest.mark.parametrize("crowded", [2, 3, 64])
-def test_every_length_of_combinations_gives_the_same_links(spark, monkeypatch, crowded):
-    """A family without a centre: 90 documents of a form, pairwise below the threshold but
-    for planted pairs; low bounds send its keys through pairs and triples."""
+def bound_keys(monkeypatch, crowded, fewer):
+    """Sets the bounds from which keys are extended; returns the lengths that were."""
     monkeypatch.setattr(ngramjoin, "CROWDED", crowded)
+    monkeypatch.setattr(ngramjoin, "FEWER", fewer)
+    seen, extended = [], ngramjoin.Join.extended
+    monkeypatch.setattr(ngramjoin.Join, "extended", lambda self, rows, k: seen.append(k) or extended(self, rows, k))
+    return seen
+
+
+@pytest.mark.parametrize(("crowded", "fewer"), [(2, 0), (3, 2), (64, 2)])
+def test_a_family_without_a_centre(spark, monkeypatch, crowded, fewer):
+    """Documents of one form, pairwise below the threshold but for planted pairs; low
+    bounds send its keys through pairs and triples."""
+    seen = bound_keys(monkeypatch, crowded, fewer)
     rows = []
-    for i in range(90):
-        form = [f"t{w}" for w in range(300)]
-        for k, place in enumerate(range(5, 300, 40)):
-            form[place] = f"v{i - 1 if i % 3 == 1 and k < 5 else i}x{k}"
+    for i in range(24 if not fewer else 90):
+        form = [f"t{w}" for w in range(200)]
+        for k, place in enumerate(range(5, 200, 27)):
+            form[place] = f"v{i - 1 if i % 3 == 1 and k < 6 else i}x{k}"
         rows.append((i, " ".join(form)))
     want = plain_components(rows)
-    assert sum(i != c for i, (_, c) in want.items()) == 30
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    seen = []
-    extended = ngramjoin.Join.extended
-    monkeypatch.setattr(ngramjoin.Join, "extended", lambda self, rows, k: seen.append(k) or extended(self, rows, k))
-    assert components(docs) == want
-    if crowded < 64:
-        assert seen[:1] == [1]
+    assert sum(i != c for i, (_, c) in want.items()) == len(rows) // 3
+    assert components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == want
+    if not fewer:
+        assert seen == [1, 2]
+
+
+@pytest.mark.parametrize("fewer", [0, 2])
+def test_frequent_shingles_among_different_texts(spark, monkeypatch, fewer):
+    """Short texts of few words: every key is crowded, and links hang on combinations."""
+    seen = bound_keys(monkeypatch, 2, fewer)
+    draw, rows = random.Random(7), []
+    for i in range(60):
+        split = [draw.choice("abc") for _ in range(60)]
+        rows += [(3 * i, " ".join(split)), (3 * i + 1, " ".join(split[1:])), (3 * i + 2, " ".join(split[:-2]))]
+    assert components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == plain_components(rows)
+    assert seen
 
 
 def test_linked_sets_share_a_key():
