@@ -38,14 +38,18 @@ def mark_members(
 
 
 def add_attributes(
-    df: DataFrame, key: str, reference: DataFrame, attributes: Sequence[str], hot: HotKeys | None = None
+    df: DataFrame, key: str, reference: DataFrame, attributes: Sequence[str], hot: HotKeys | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Left outer lookup of reference attributes; rows without a match get nulls.
 
     A reference that lists a key more than once counts with one of its rows, so
-    rows never fan out.
+    rows never fan out. `unique` vouches that it lists each key once, as a dimension
+    does, and spares the look.
     """
-    wanted = keep_one(reference.select(key, *attributes).where(F.col(key).isNotNull()), [key])
+    wanted = reference.select(key, *attributes).where(F.col(key).isNotNull())
+    if not unique:
+        wanted = keep_one(wanted, [key])
     return _in_order(join_unique(df, wanted, [key], hot), [*df.columns, *attributes])
 
 

@@ -177,7 +177,7 @@ SELECT event_id, sha256('1970-01-01 ' || strftime(ts, '%H:%M:%S')) AS time_sk FR
 def time_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event's member of the time-of-day dimension."""
     events = table(spark, sf_dir, "events").select("event_id", second_of_day(F.col("ts")).alias("time"))
-    return add_attributes(events, "time", time_dimension(spark), ["time_sk"]).select("event_id", "time_sk")
+    return add_attributes(events, "time", time_dimension(spark), ["time_sk"], unique=True).select("event_id", "time_sk")
 
 
 @query("""

@@ -336,11 +336,12 @@ def validity_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     start, end = F.col("start_ts"), F.col("end_ts")
     rules = [Rule(NO_TIMES, start.isNull() & end.isNull()), Rule(REVERSED_TIMES, start > end)]
-    kept, rejected, _ = part(tag(events, rules))
-    described = describe_rejects(rejected, "events", F.lit("2026-04-02 08:00:00").cast("timestamp"))
-    described = described.withColumn("reject_date", F.col("reject_date").cast("string"))
-    both = kept.unionByName(described, allowMissingColumns=True)
-    return both.select("event_id", REASON, "_table", "reject_date")
+    both = describe_rejects(part(tag(events, rules)).both(), "events", F.lit("2026-04-02 08:00:00").cast("timestamp"))
+    rejected = F.col(REASON).isNotNull()
+    return both.select(
+        "event_id", REASON, F.when(rejected, F.col("_table")).alias("_table"),
+        F.when(rejected, F.col("reject_date").cast("string")).alias("reject_date"),
+    )
 
 
 MEMBER_SQL = """
