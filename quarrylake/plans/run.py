@@ -96,17 +96,18 @@ def _parent(spark: SparkSession, lake: Lake, name: str, done: list[str]) -> Data
 
 
 def run_gold(spark: SparkSession, lake: Lake, tables: list[str]) -> list[str]:
-    """Write every dimension whose cleaned table exists."""
+    """Write every dimension whose cleaned table changed since it was written, and the fixed
+    ones once; returns all dimensions there are."""
     def table(name: str) -> DataFrame:
         return read_table(spark, lake.silver(name))
 
-    builders: dict[str, Callable[[], DataFrame]] = {
-        "dim_dates": lambda: gold.dates(spark),
-        "dim_time_of_day": lambda: gold.time_of_day(spark),
+    builders: dict[str, tuple[str | None, Callable[[], DataFrame]]] = {
+        "dim_dates": (None, lambda: gold.dates(spark)),
+        "dim_time_of_day": (None, lambda: gold.time_of_day(spark)),
     }
     for ref in lake.references.values():
         if ref.name in tables:
-            builders[f"dim_{ref.name}"] = lambda ref=ref: gold.reference(table(ref.name), ref)
+            builders[f"dim_{ref.name}"] = ref.name, lambda ref=ref: gold.reference(table(ref.name), ref)
     per_table = {
         "vehicles": ("dim_vehicles", gold.vehicles),
         "riders_cdc": ("dim_riders", gold.riders),
@@ -116,9 +117,14 @@ def run_gold(spark: SparkSession, lake: Lake, tables: list[str]) -> list[str]:
     }
     for name, (dim, build) in per_table.items():
         if name in tables:
-            builders[dim] = lambda name=name, build=build: build(table(name))
-    for dim, build in builders.items():
-        write_table(build(), lake.gold(dim))
+            builders[dim] = name, lambda name=name, build=build: build(table(name))
+    for dim, (name, build) in builders.items():
+        made = refresh.last_commit(spark, lake, name) if name else None
+        version = made.version if made else 0
+        built = refresh.last_commit(spark, lake, dim)
+        if built is None or built.version < version:
+            write_table(build(), lake.gold(dim))
+            refresh.commit(spark, lake, dim, refresh.Commit(version, frozenset(), {}), True)
     return list(builders)
 
 

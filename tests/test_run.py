@@ -200,7 +200,9 @@ def test_a_load_rewrites_its_own_folders_and_equals_a_full_rebuild(spark, tmp_pa
         {**pay, "payment_id": "P9", "external_ref": "R9", "captured_at": "2026-04-09T10:00:00Z"}]}))
     run.run(spark, lake)
     before = {t: folder_times(lake.silver(t)) for t in ("rides", "payments", "telemetry")}
+    dims = folder_times(lake.at("gold"))
     assert run.run(spark, lake)["tables"] and before == {t: folder_times(lake.silver(t)) for t in before}
+    assert folder_times(lake.at("gold")) == dims
 
     late = other("R9", "2026-04-09")
     gone = other("R7", "2026-04-08").replace("2026-04-12T23", "2026-04-14T23").replace(",2026-04-08 10:00:00,2026-04-08 10:10:00,", ",,,")
@@ -216,6 +218,7 @@ def test_a_load_rewrites_its_own_folders_and_equals_a_full_rebuild(spark, tmp_pa
     assert rows(spark.read.parquet(lake.quarantine("payments")), "payment_id") == [("P2",), ("P7",)]
     assert rows(spark.read.parquet(lake.silver("telemetry")), "event_id", "is_registered_vehicle") == [("e1", True), ("e2", True), ("e3", True)]
     after = {t: folder_times(lake.silver(t)) for t in before}
+    assert {d for d, at in folder_times(lake.at("gold")).items() if at != dims[d]} == {"dim_vehicles", "dim_payment_method", "dim_ride_context"}
     changed = {t: {f for f in after[t] if after[t][f] != before[t].get(f)} for t in before}
     assert changed == {
         "rides": {"ride_date=2026-04-06", "ride_date=2026-04-07", "ride_date=2026-04-08", "ride_date=2026-04-09"},
