@@ -17,9 +17,10 @@
    under their combinations; where the same members meet again under most of them, as in
    a family of forms, combinations only repeat the key, and it is joined as it is.
 5. Within a key the places (set size, place of the last of the combination) meet before
-   their members do: what follows the last place bounds what can be shared. A pair counts
-   under one key alone, that of its first common shingles: what stands ahead of the last
-   place must share one shingle less than the key has. Bitmaps rule out more; the rest is
+   their members do: what follows the last place bounds what can be shared. A pair
+   belongs to one key, that of its first common shingles: it is passed over where the
+   rarest `HEAD` shingles ahead of the last place already share more than the key leaves
+   open. Small bitmaps are tried inside the join, larger ones after it; the rest is
    confirmed on full sets, read for these members only. Every link between different
    components comes out; no key has a cap.
 
@@ -40,8 +41,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarrylake.llm.common import batch, stored
-from quarrylake.llm.neardup import bitmap, merged_labels, signed, with_text_hash
+from quarrylake.llm.common import batch, release, stored
+from quarrylake.llm.neardup import BITS, bitmap, merged_labels, signed, with_text_hash
 from quarrylake.llm.shingles import WordHashes, mixed, shingle_set
 
 SHINGLE = 3
@@ -52,6 +53,8 @@ CROWDED = 64  # members from which a key is extended by one more shingle
 LONGEST = 3  # shingles in the longest combination; crowded keys of that length are joined as they are
 # Two different sets above the threshold share at least nine shingles, so no combination is too long for a link.
 
+HEAD = 16  # shingles of a member, ahead of a key, that tell whether a pair has met before
+FOLDED = 8  # numbers of 64 bits that the bitmap is folded to where it travels with a key
 FEWER = 2  # a key is extended if its combinations hold less than one pair in so many of its own
 SETTLED = 20  # the rounds of one centre a bucket end when they link less than one in so many members
 
@@ -164,18 +167,22 @@ def may_link(common: Column) -> Column:
     return (100 + PERCENT) * common >= PERCENT * (F.col("n_a") + F.col("n_b"))
 
 
+def lacking(left: str, right: str) -> Column:
+    """Bits of one bitmap that the other has not; each stands for a shingle, or more, that the other set lacks."""
+    counts = F.zip_with(left, right, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))
+    return F.aggregate(counts, F.lit(0), lambda n, k: n + k)
+
+
+def most_common(left: str, right: str) -> Column:
+    """A bound on what two sets share, from their sizes n_a and n_b and bitmaps."""
+    return F.least(F.col("n_a") - lacking(left, right), F.col("n_b") - lacking(right, left))
+
+
 def possible(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """The pairs (a, b) that sizes and bitmaps do not rule out; a bit of one set alone
-    stands for a shingle, or more, that the other lacks."""
+    """The pairs (a, b) that sizes and bitmaps do not rule out."""
     side = lambda end: members.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a")
-
-    def lacking(left: str, right: str) -> Column:
-        counts = F.zip_with(left, right, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))
-        return F.aggregate(counts, F.lit(0), lambda n, k: n + k)
-
-    most = F.least(F.col("n_a") - lacking("bits_a", "bits_b"), F.col("n_b") - lacking("bits_b", "bits_a"))
-    return both.filter(may_link(most)).select("a", "b")
+    return both.filter(may_link(most_common("bits_a", "bits_b"))).select("a", "b")
 
 
 def set_rows(texts: DataFrame) -> DataFrame:
@@ -230,6 +237,7 @@ class Join:
         linked = pairs.join(right, "b").join(left, "a").filter(100 * common >= PERCENT * (both - common))
         links = stored(linked.select("a", "b"), "ngrams-links")
         found = links.count()
+        release(self.docs.sparkSession)
         if found:
             self.labels = merged_labels(self.labels, links)
         return found
@@ -265,16 +273,16 @@ class Join:
 
     def pairs_within(self, rows: DataFrame, k: int) -> DataFrame:
         """Pairs of different components whose first k common shingles are a key, at places that allow a link."""
-        end = lambda df, name: df.withColumnsRenamed({c: f"{c}_{name}" for c in ("node", "label", "n", "last", "head")})
+        end = lambda df, name: df.withColumnsRenamed({c: f"{c}_{name}" for c in ("node", "label", "n", "last", "head", "small")})
         place = ["key", "n", "last"]
         places = rows.select(*place).distinct()
         left = F.least(F.col("n_a") - F.col("last_a"), F.col("n_b") - F.col("last_b")) - 1
         meeting = end(places, "a").join(end(places, "b"), "key").filter((F.col("n_a") <= F.col("n_b")) & may_link(left + k))
-        held = rows.select(*place, "node", "label", "head")
+        held = rows.select(*place, "node", "label", "head", "small")
         met = meeting.join(end(held, "a"), ["key", "n_a", "last_a"]).join(end(held, "b"), ["key", "n_b", "last_b"])
         met = met.filter("label_a <> label_b and (n_a < n_b or node_a < node_b)")
-        first = F.size(F.array_intersect("head_a", "head_b")) == k - 1
-        return met.filter(first).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+        fresh = F.size(F.array_intersect("head_a", "head_b")) <= k - 1
+        return met.filter(fresh & may_link(most_common("small_a", "small_b"))).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
     def extended(self, rows: DataFrame, k: int) -> DataFrame:
         """Keys of k shingles extended by every later shingle of the (k + 1)-prefix."""
@@ -283,8 +291,12 @@ class Join:
         return more.select("parent", F.xxhash64("parent", "shingle").alias("key"), "node", "n", (F.col("last") + F.col("after") + 1).alias("last"))
 
     def headed(self, rows: DataFrame) -> DataFrame:
-        """The rows with the shingles that stand ahead of the last place of their key."""
-        return rows.join(self.members.select("node", "prefix"), "node").withColumn("head", F.slice("prefix", F.lit(1), F.col("last"))).drop("prefix")
+        """The rows with the rarest shingles ahead of the last place of their key, and a small bitmap."""
+        every = lambda i: F.sequence(i, F.lit(BITS // 64 - 1), F.lit(FOLDED))
+        joined = lambda both, j: both.bitwiseOR(F.get("bits", j))
+        fold = F.transform(F.sequence(F.lit(0), F.lit(FOLDED - 1)), lambda i: F.aggregate(every(i), F.lit(0).cast("bigint"), joined))
+        own = self.members.select("node", F.slice("prefix", 1, HEAD).alias("head"), fold.alias("small"))
+        return rows.join(own, "node").withColumn("head", F.slice("head", F.lit(1), F.col("last")))
 
     def finish(self, rows: DataFrame) -> None:
         """Every link left between different components, by keys of one to `LONGEST` shingles."""
@@ -298,7 +310,9 @@ class Join:
                 own = crowded.groupBy(F.col("key").alias("parent")).agg(F.count(F.lit(1)).alias("many"))
                 apart = stored(below.join(own, "parent").filter(FEWER * F.col("below") < F.col("many") * (F.col("many") - 1)).select("parent"), "ngrams-apart")
             ready = level if apart is None else level.join(apart.withColumnRenamed("parent", "key"), "key", "left_anti")
-            pairs = stored(self.pairs_within(stored(self.headed(ready), "ngrams-level"), k), "ngrams-met")
+            ready = stored(self.headed(ready), "ngrams-level")
+            release(self.docs.sparkSession)
+            pairs = stored(self.pairs_within(ready, k), "ngrams-met")
             found = pairs if found is None else found.unionByName(pairs)
             if apart is None or apart.isEmpty():
                 break
@@ -310,7 +324,10 @@ def ngram_components(docs: DataFrame) -> DataFrame:
     """Per row of `docs`: doc_id, text_hash, n_shingles, and component_id, the least doc_id reachable by links."""
     rows = described(docs)
     classes = classes_of(rows)
-    join = Join(docs, classes, members_of(rows, classes))
+    members = members_of(rows, classes)
+    release(docs.sparkSession)
+    join = Join(docs, classes, members)
+    release(docs.sparkSession)
     join.finish(join.settle())
     joined = classes.join(join.labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = joined.groupBy("label").agg(F.min("doc_id").alias("component_id"))
