@@ -3,6 +3,14 @@
 Each stage takes (spark, docs, sf_dir) and its whole input; all but the last
 return the columns of `documents`. Between stages the rows are written as Parquet
 to the shared folder and read again.
+
+Odd rows have a defined way through. Texts that are null, empty or blank fail the base
+rule of the first stage and go there; given to a later stage they pass: they are no
+duplicates, hold no personal data, cost the mixture nothing and pack as the closing
+token alone. A null doc_id is a document like any other and orders last (first in the
+mixture's order). Rows that repeat id and text are one document to the second stage,
+which keeps one, and are taken or left together by the fourth. Extra columns of any name
+come through unchanged up to the last stage. An empty table gives no rows.
 """
 
 from __future__ import annotations
