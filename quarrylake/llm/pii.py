@@ -77,6 +77,12 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def at_most_255(digits: str) -> bool:
+    """Of a number however long; Python itself refuses to read thousands of digits, zeros too."""
+    short = digits.lstrip("0")
+    return len(short) < 4 and int(short or "0") <= 255
+
+
 def base_spans(text: str) -> list[Span]:
     found: list[Span] = []
     if "@" in text:
@@ -84,7 +90,7 @@ def base_spans(text: str) -> list[Span]:
     if not DIGITS.search(text):
         return sorted(found)
     if "." in text:
-        found += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split("."))]
+        found += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(at_most_255(p) for p in m[0].split("."))]
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 12:
             digits = NO_DIGIT.sub("", m[0])
@@ -210,6 +216,13 @@ def kind_name(rank: Column) -> Column:
     return F.element_at(F.array(*[F.lit(k) for k in KINDS]), rank + 1)
 
 
+def number_of(spans: Column, kind: str) -> Column:
+    """How many spans are of the kind."""
+    rank = KINDS.index(kind)
+    # The test takes the span alone: a second argument, with a default too, would get its index.
+    return F.size(F.filter(spans, lambda s: s["rank"] == rank)).cast("long")
+
+
 def written(spans: Column) -> Column:
     """kind:start:end of every span, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", kind_name(s["rank"]), s["start"], s["end"])), ",")

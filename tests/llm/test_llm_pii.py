@@ -1,3 +1,4 @@
+import hashlib
 import re
 
 from hypothesis import given, settings
@@ -5,6 +6,7 @@ from hypothesis import strategies as st
 
 from corpus import empty_documents, odd_documents
 from quarrylake.llm import pii
+from quarrylake.llm.queries import QUERIES
 
 PLAIN = (
     re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
@@ -87,3 +89,26 @@ def test_overlapping_spans_are_one_replacement(spark):
     docs = spark.createDataFrame([(1, "x +378282246310005 y")], "doc_id long, text string")
     assert [s.rank for s in pii.personal_data(docs).first().spans] == [3, 2]
     assert pii.redact(docs).first().text == "x <PHONE> y"
+
+
+def test_the_query_counts_every_span_of_its_kind(spark, tmp_path):
+    card, phone, ip = "4111 1111 1111 1111", "+1 (555) 555-0100", "10.0.0.1"
+    texts = [
+        "a@b.example.org c@d.example.org e@f.example.org", f"{card} {ip}", f"{phone} x {phone}", f"{ip} {ip} a@b.cc {card}, {phone}",
+        f"{ip} a@b.cc", "plain words", "", None,
+    ]
+    spark.createDataFrame([*enumerate(texts), (0, texts[0])], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op7_bootstrapped_pii"](spark, str(tmp_path)).collect()
+
+    def expected(text):
+        spans = plain_spans(text or "")
+        line = ",".join(f"{pii.KINDS[rank]}:{s}:{e}" for s, rank, e in spans)
+        return *[sum(rank == k for _, rank, _ in spans) for k in range(4)], hashlib.sha256(line.encode()).hexdigest()
+
+    wanted = sorted((i, *expected(t)) for i, t in [*enumerate(texts), (0, texts[0])])
+    assert sorted((r.doc_id, r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in got) == wanted
+
+
+def test_thousands_of_zeros_ahead_of_an_address():
+    assert pii.base_spans(f"{'0' * 5000}1.2.3.4") == [(0, 1, 5007)]
+    assert pii.base_spans(f"{'0' * 5000}256.2.3.4") == []
