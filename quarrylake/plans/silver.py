@@ -4,7 +4,8 @@ Each function takes the raw text tables it needs and returns the kept and the
 rejected rows. Duplicates go first where rows are told by a key of their own, on the
 raw text, so that only the rows that stay are parsed; riders and vehicles are tagged and
 cast before, as their rejects are kept beside their survivors. Nothing here reads or writes; the one job started is the probe
-for hot keys, over the raw key column, before a join of two large tables.
+for hot keys, over the raw key column, before a join of two large tables or the sort
+that finds a key's newest row.
 """
 
 from __future__ import annotations
@@ -92,8 +93,9 @@ def vehicles(raw: DataFrame, known_operators: DataFrame) -> Parted:
     return part(keep_one(clean, ["vehicle_id", "snapshot_date", APART]).drop(APART))
 
 
-def maintenance(raw: DataFrame) -> Parted:
-    clean = typed(tag_keyless(keep_one(raw, ["id"], nulls_apart=True), ["id"]), "maintenance").withColumnRenamed("vehicle_ref", "vehicle_id")
+def maintenance(raw: DataFrame, hot_rows: int = HOT_ROWS) -> Parted:
+    once = keep_one(raw, ["id"], nulls_apart=True, hot=find_hot(raw, ["id"], hot_rows))
+    clean = typed(tag_keyless(once, ["id"]), "maintenance").withColumnRenamed("vehicle_ref", "vehicle_id")
     return part(
         clean.withColumns(
             {
@@ -110,8 +112,9 @@ def weather(raw: DataFrame) -> Parted:
     return part(typed(tag_keyless(newest, ["city_id", "date"]), "weather").withColumn("city", F.col("city_id")))
 
 
-def rides(raw: DataFrame, known_cities: DataFrame) -> Parted:
+def rides(raw: DataFrame, known_cities: DataFrame, hot_rows: int = HOT_ROWS) -> Parted:
     """The newest state of each ride, with instants, metres, seconds and euros."""
+    hot = find_hot(raw, ["ride_id"], hot_rows)
     raw = with_declared(raw, ["promo_code"]).withColumns(
         {
             "promo_code": text.empty_to_null(F.col("promo_code")),
@@ -122,7 +125,8 @@ def rides(raw: DataFrame, known_cities: DataFrame) -> Parted:
     zoned = add_attributes(raw, "city_id", known_cities, ["timezone"])
     zoned = tag(zoned, [Rule(UNREADABLE, times.beyond_timestamps(F.col(c))) for c in ("updated_at", "start_ts", "end_ts")])
     zoned = zoned.withColumn("updated_at", times.instant(F.col("updated_at"), zone))
-    clean = typed(tag_keyless(keep_latest(zoned, ["ride_id"], "updated_at", nulls_apart=True), ["ride_id"]), "rides")
+    newest = keep_latest(zoned, ["ride_id"], "updated_at", nulls_apart=True, hot=hot)
+    clean = typed(tag_keyless(newest, ["ride_id"]), "rides")
     clean = clean.withColumns({c: times.instant(F.col(c), zone) for c in ("start_ts", "end_ts")})
     start, end = F.col("start_ts"), F.col("end_ts")
     clean = clean.withColumns(
@@ -141,7 +145,8 @@ def rides(raw: DataFrame, known_cities: DataFrame) -> Parted:
 def payments(raw: DataFrame, known_rides: DataFrame, hot_rows: int = HOT_ROWS) -> Parted:
     """One row per payment, in euros, for rides that exist."""
     hot = find_hot(raw, ["external_ref"], hot_rows)
-    clean = typed(tag_keyless(keep_one(raw, ["payment_id"], nulls_apart=True), ["payment_id"]), "payments")
+    once = keep_one(raw, ["payment_id"], nulls_apart=True, hot=find_hot(raw, ["payment_id"], hot_rows))
+    clean = typed(tag_keyless(once, ["payment_id"]), "payments")
     clean = clean.withColumnRenamed("external_ref", "ride_id").withColumn(
         "amount", amounts.from_minor_units(F.col("amount_minor"))
     )
@@ -162,7 +167,7 @@ def telemetry(
     raw: DataFrame, known_vehicles: DataFrame, known_cities: DataFrame, hot_rows: int = HOT_ROWS
 ) -> Parted:
     """One row per event, in UTC and on the 0-1 battery scale; unregistered vehicles are flagged."""
-    once = tag_keyless(keep_one(raw, ["event_id"], nulls_apart=True), ["event_id"])
+    once = tag_keyless(keep_one(raw, ["event_id"], nulls_apart=True, hot=find_hot(raw, ["event_id"], hot_rows)), ["event_id"])
     clean = typed(tag(once, [Rule(UNREADABLE, times.beyond_timestamps(F.col("ts")))]), "telemetry")
     zones_of = known_cities.select(F.col("city_id").alias("city"), "timezone")
     clean = add_attributes(clean, "city", zones_of, ["timezone"])

@@ -172,3 +172,20 @@ def test_deleted_riders_are_blanked_everywhere(spark):
     assert kept.count() == 3
     assert {r.rider_id: r._reject_reason for r in rejected.collect()} == {
         "R3": "invalid_fk_operator", "R4": "Unknown country", "R5": "Unreadable value"}
+
+
+@pytest.mark.parametrize("hot_rows", [2, 300, 1000])
+def test_survivors_do_not_depend_on_what_is_hot(spark, hot_rows):
+    df = keyed_rows(spark).withColumn("t", F.col("id") % 7).unionByName(keyed_rows(spark).withColumn("t", F.col("id") % 5))
+    hot = find_hot(df, ["k"], hot_rows)
+    for nulls_apart in (False, True):
+        wanted = keep_latest(df, ["k"], "t", nulls_apart=nulls_apart)
+        got = keep_latest(df, ["k"], "t", nulls_apart=nulls_apart, hot=hot)
+        assert got.columns == df.columns and sorted(got.collect(), key=str) == sorted(wanted.collect(), key=str)
+
+
+def test_rows_of_rare_keys_are_sorted_once_behind_the_shuffle(spark):
+    df = spark.range(100).withColumn("k", F.col("id") % 90)
+    shown = plan(keep_latest(df, ["k"], "id", nulls_apart=True, hot=NONE_HOT))
+    assert shown.count("Sort [") == 1 and shown.count("Exchange hashpartitioning") == 1
+    assert shown.index("Sort [") < shown.index("Exchange hashpartitioning")
