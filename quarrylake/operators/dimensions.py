@@ -76,11 +76,14 @@ def enumerated_dimension(df: DataFrame, column: str, surrogate: str) -> DataFram
 def combinations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Every combination of the values that occur in each column.
 
-    Each value set is a distinct over one column, combined map-side. Their
-    product is what a junk dimension is; it is planned as joins without a key,
-    so its rows are made on all tasks and have no bound.
+    The table is read once, for the combinations it holds, combined map-side; each
+    value set is a distinct over one column of these. Their product is what a junk
+    dimension is; it is planned as joins without a key, so its rows are made on all
+    tasks and have no bound.
     """
-    first, *others = [df.select(c).distinct() for c in columns]
+    # Dealt again, the combinations stay a step of their own that all value sets share.
+    held = df.select(*columns).distinct().repartition(*columns)
+    first, *others = [held.select(c).distinct() for c in columns]
     for values in others:
         first = first.crossJoin(values)
     return first

@@ -189,3 +189,13 @@ def test_rows_of_rare_keys_are_sorted_once_behind_the_shuffle(spark):
     shown = plan(keep_latest(df, ["k"], "id", nulls_apart=True, hot=NONE_HOT))
     assert shown.count("Sort [") == 1 and shown.count("Exchange hashpartitioning") == 1
     assert shown.index("Sort [") < shown.index("Exchange hashpartitioning")
+
+
+def test_a_junk_dimension_reads_its_table_once(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(50).selectExpr("id % 3 AS x", "id % 2 AS y", "id % 5 AS z")
+        shown = plan(dimensions.combinations(df, ["x", "y", "z"]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert shown.count("Range (") == 1 and shown.count("ReusedExchange") == 2
