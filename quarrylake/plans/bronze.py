@@ -47,10 +47,14 @@ def row_identity(columns: Sequence[str]) -> Column:
 
 
 def ingest(rows: DataFrame, source: Source, bronze: str, batch: str, moment: str) -> list[str]:
-    """Stamp a batch of rows and write it to its own folder of the bronze table; returns its columns."""
-    named = rows.withColumn("_row_id", row_identity(rows.columns))
+    """Stamp a batch of rows and write it to its own folder of the bronze table; returns its columns.
+
+    Rows are stamped where they are written: the digests would make up much of the shuffle.
+    """
+    dealt = rows.hint("rebalance", *source.keys)
+    named = dealt.withColumn("_row_id", row_identity(rows.columns))
     stamped = stamp(named, source.system, F.lit(moment).cast("timestamp"))
-    write_table(stamped, f"{bronze}/batch={batch}", source.keys)
+    write_table(stamped, f"{bronze}/batch={batch}", source.keys, dealt=True)
     return [c for c in stamped.columns if c not in source.keys]
 
 

@@ -126,22 +126,21 @@ def note_changes(lake: Lake, table: str, version: int, before: DataFrame | None,
 
 
 def first_seen(described: DataFrame, path: str) -> DataFrame:
-    """Rejects with the moment their row was first rejected, however its columns have grown since.
+    """Rejects, staged, with the moment their row was first rejected, however its columns have grown since.
 
     The moments stand in a table of their own, by the identity a row got when it was
     ingested. It is only ever added to, so no replaced quarantine takes them along.
     """
     if "_row_id" not in described.columns:
-        return described
+        return staged(described, path)
     spark = described.sparkSession
     try:
-        known = spark.read.schema(SEEN).parquet(path)
+        known = spark.read.schema(SEEN).parquet(path).groupBy("_row_id").agg(F.min("_first").alias("_first"))
+        dated = described.join(known, "_row_id", "left")
     except AnalysisException as missing:
         if not _absent(missing):
             raise
-        known = spark.createDataFrame([], SEEN)
-    known = known.groupBy("_row_id").agg(F.min("_first").alias("_first"))
-    dated = described.join(known, "_row_id", "left")
+        dated = described.withColumn("_first", F.lit(None).cast("timestamp"))
     dated = staged(dated.withColumn("_reject_ts", F.coalesce("_first", "_reject_ts")), path)
     fresh = dated.where(F.col("_first").isNull() & F.col("_row_id").isNotNull()).select("_row_id", F.col("_reject_ts").alias("_first"))
     fresh.distinct().write.mode("append").parquet(path)
@@ -160,7 +159,7 @@ def replace_whole(spark: SparkSession, parted: Parted, lake: Lake, table: str, v
     described = first_seen(describe_rejects(rejected, table), seen_at(lake, table))
     note_changes(lake, table, version, stored_table(spark, lake.silver(table)), kept)
     # The quarantine may hold rows in clear that the table blanks from now on: it goes first.
-    replace_table(staged(described, lake.quarantine(table)), lake.quarantine(table), ["reject_date"])
+    replace_table(described, lake.quarantine(table), ["reject_date"])
     replace_table(kept, lake.silver(table), LAYOUT.get(table, ()))
 
 
@@ -209,7 +208,7 @@ def refresh(
     """
     key, folder = DELTAS[table].key, LAYOUT[table][0]
     kept, rejected = stored_table(spark, lake.silver(table)), stored_table(spark, lake.quarantine(table))
-    planned = clean(raw, *parents)
+    planned = clean(raw.limit(0), *parents)  # for its columns alone
     if kept is None or set(planned.kept.columns) != set(kept.columns):
         return False
     named = [new.where(F.col(key).isNotNull()).select(key)]
@@ -230,7 +229,7 @@ def refresh(
     both = staged(parted.both(), f"{lake.silver(table)}-fresh")
     fresh = both.where(F.col(REASON).isNull()).select(*parted.kept.columns)
     refused = both.where(F.col(REASON).isNotNull()).select(*parted.rejected.columns)
-    described = staged(first_seen(describe_rejects(refused, table), seen_at(lake, table)), f"{lake.quarantine(table)}-fresh")
+    described = first_seen(describe_rejects(refused, table), seen_at(lake, table))
     note_changes(lake, table, version, kept.join(groups, key, "left_semi"), fresh)
     replace_folders(lake.quarantine(table), rejected, groups, key, described, "reject_date")
     replace_folders(lake.silver(table), kept, groups, key, fresh, folder)

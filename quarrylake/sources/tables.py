@@ -22,14 +22,15 @@ def stamp(df: DataFrame, system: str, ingested: Column) -> DataFrame:
     return df.withColumns({"_ingest_ts": written, "_source_system": F.lit(system)})
 
 
-def write_table(df: DataFrame, path: str, layout: Sequence[str] = (), mode: str = "overwrite") -> None:
+def write_table(df: DataFrame, path: str, layout: Sequence[str] = (), mode: str = "overwrite", dealt: bool = False) -> None:
     """Write Parquet, whole or by folder.
 
     With a layout only the folders that occur in `df` are replaced. Rebalancing
     by the layout columns gives each folder few files and still spreads a
-    folder that holds much of the table over several tasks.
+    folder that holds much of the table over several tasks; `dealt` tells that
+    the rows come in this way already.
     """
-    if layout:
+    if layout and not dealt:
         df = df.hint("rebalance", *layout)
     writer = df.write.mode(mode).option("compression", "snappy").option("partitionOverwriteMode", "dynamic")
     (writer.partitionBy(*layout) if layout else writer).parquet(path)
@@ -70,5 +71,5 @@ def staged(df: DataFrame, owner: str) -> DataFrame:
     """
     name = hashlib.sha256(owner.encode()).hexdigest()[:16]
     path = f"{shared_folder(df.sparkSession)}/staged-{name}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

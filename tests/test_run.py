@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from quarrylake.plans import run
+from quarrylake.plans import refresh, run
 from quarrylake.spec import Lake
 from test_files import put, rows
 
@@ -287,3 +287,33 @@ def test_stream_and_batch_share_one_bronze(spark, tmp_path):
     object.__setattr__(fresh, "at", lambda layer, *names: Lake.at(fresh, f"{layer}-new" if layer == "_checkpoints" else layer, *names))
     assert ingest_available(spark, fresh, vehicles) == 0
     assert bronze.read_bronze(spark, lake, "vehicles").count() == 7
+
+
+def test_every_row_is_staged_once_per_table_and_columns_cost_no_rows(spark, tmp_path, monkeypatch):
+    lake = Lake(str(tmp_path))
+    land(lake)
+    owners, sizes, plans = [], [], []
+    stage, (clean, needs) = refresh.staged, run.CLEANERS["rides"]
+
+    def noted(df, owner):
+        owners.append(owner.removeprefix(lake.root))
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, owner)
+
+    def counted(raw, *parents):
+        sizes.append(raw.count())
+        return clean(raw, *parents)
+
+    monkeypatch.setattr(refresh, "staged", noted)
+    monkeypatch.setitem(run.CLEANERS, "rides", (counted, needs))
+    run.run(spark, lake)
+    of_rides = [(o, p) for o, p in zip(owners, plans, strict=True) if o.endswith("/rides")]
+    assert [o for o, _ in of_rides] == ["/silver/rides", "/_first_seen/rides"]
+    assert "Join" not in of_rides[1][1]  # nothing was seen before
+    header, other = RIDES.splitlines()[0], RIDES.splitlines()[1].replace("R1,", "R6,")
+    put(lake.landing("rides"), "dt=2026-04-16/rides_C-G_2026-04-16.csv", f"{header}\n{other}\n")
+    owners.clear()
+    run.run_bronze(spark, lake)
+    run.run_silver(spark, lake)
+    assert not any(o.endswith("_quarantine/rides-fresh") for o in owners)
+    assert sizes == [5, 0, 1]
