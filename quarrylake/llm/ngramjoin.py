@@ -6,10 +6,11 @@
    shingle is among its first n - a + 1 and the first k common ones among its first
    n - a + k: the k-prefix. A bucket holds the sets that have a shingle in their
    1-prefix; of a pair only the first common shingle matters.
-3. First rounds test members against one centre of their bucket, the member of most
-   company; that settles groups of near copies with about one pair a member. Buckets
-   whose members are linked by then are closed. The rounds end when few links come.
-4. In the buckets that stay open a rare shingle is a key by itself. A frequent one is no
+3. First rounds test members of buckets above `CROWDED` against one centre of their bucket,
+   the member of most company with the fewest rare shingles of its own; that settles groups
+   of near copies with about one pair a member. Buckets whose members are linked by then are
+   closed, others get a fresh centre each round. The rounds end when few links come.
+4. In all buckets that are open a rare shingle is a key by itself. A frequent one is no
    key: its members extend their prefixes by one and are indexed under combinations of
    it with every later shingle there; combinations that are crowded again are extended
    to three. A pair whose first common shingle is frequent shares the combination of its
@@ -56,7 +57,7 @@ LONGEST = 3  # shingles in the longest combination; crowded keys of that length
 HEAD = 16  # shingles of a member, ahead of a key, that tell whether a pair has met before
 FOLDED = 8  # numbers of 64 bits that the bitmap is folded to where it travels with a key
 FEWER = 2  # a key is extended if its combinations hold less than one pair in so many of its own
-SETTLED = 20  # the rounds of one centre a bucket end when they link less than one in so many members
+SETTLED = 20  # the rounds of one centre a bucket end when they link less than one in so many of its members
 
 SLICE = 500  # texts held as arrays at a time
 
@@ -151,15 +152,17 @@ def members_of(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 def shared_prefixes(members: DataFrame) -> DataFrame:
     """Stored (key, node, n, at, size, weight) of the 1-prefixes, of shingles that two classes
-    have there; a node's weight is the sum of its keys' sizes."""
+    have there; a node's weight is the sum of its keys' sizes, each times the places of the
+    prefix from the key on. Of a group of near copies all have much the same company, so the
+    places tell: own shingles of a changed copy are rare and push the common ones back."""
     reach = (F.col("n") - F.ceil(PERCENT * F.col("n") / 100) + 1).cast("int")
-    rows = members.select("node", "n", F.posexplode(F.slice("prefix", F.lit(1), reach)).alias("at", "key"))
+    rows = members.select("node", "n", reach.alias("reach"), F.posexplode(F.slice("prefix", F.lit(1), reach)).alias("at", "key"))
     # The smaller set of a pair has the shingle early enough for a partner of its own size.
     early = (100 + PERCENT) * (F.col("n") - F.col("at")) >= 2 * PERCENT * F.col("n")
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.max(early).alias("early")).filter("size > 1 and early")
     held = stored(rows.join(stored(sizes.select("key", "size"), "ngrams-sizes"), "key"), "ngrams-shared")
-    weights = held.groupBy("node").agg(F.sum("size").alias("weight"))
-    return stored(held.join(weights, "node"), "ngrams-keys")
+    weights = held.groupBy("node").agg(F.sum(F.col("size") * (F.col("reach") - F.col("at"))).alias("weight"))
+    return stored(held.drop("reach").join(weights, "node"), "ngrams-keys")
 
 
 def may_link(common: Column) -> Column:
@@ -257,18 +260,26 @@ class Join:
         return stored(placed.join(stored(spread.filter("lo < hi").select("key", "size"), "ngrams-sizes"), "key"), "ngrams-open")
 
     def settle(self) -> DataFrame:
-        """Test every member against the weightiest centre of its open buckets, while a round
-        links one in `SETTLED` of the members left; returns the rows of the open buckets."""
+        """Test the members of open buckets above `CROWDED` against the weightiest one, a fresh
+        one each round, while a round links one in `SETTLED` of them; returns the rows of all
+        open buckets. Below that size a member meets few others in a bucket, linked or not."""
+        used = None
         while True:
             rows = self.open_keys(self.keys)
+            crowded = rows.filter(F.col("size") > CROWDED)
+            if crowded.isEmpty():
+                return rows
+            fresh = crowded if used is None else crowded.join(used, ["key", "node"], "left_anti")
             centre = F.max(F.struct("weight", (-F.col("node")).alias("least"), "label", "n")).alias("c")
-            centres = stored(rows.groupBy("key").agg(centre), "ngrams-centres")
-            met = rows.join(centres, "key").filter(F.col("label") != F.col("c.label"))
+            centres = stored(fresh.groupBy("key").agg(centre), "ngrams-centres")
+            taken = centres.select("key", (-F.col("c.least")).alias("node"))
+            used = taken if used is None else used.unionByName(taken)
+            met = crowded.join(centres, "key").filter(F.col("label") != F.col("c.label"))
             met = met.withColumns({"n_a": F.col("n"), "n_b": F.col("c.n")}).filter(may_link(F.least("n_a", "n_b")))
             best = F.max(F.struct(F.col("c.weight").alias("weight"), F.col("c.least").alias("least"))).alias("best")
             pairs = met.groupBy("node").agg(best).select((-F.col("best.least")).alias("a"), F.col("node").alias("b"))
             linked = self.link(self.untested(pairs))
-            if linked * SETTLED < rows.select("node").distinct().count():
+            if linked * SETTLED < crowded.select("node").distinct().count():
                 return self.open_keys(self.keys) if linked else rows
 
     def pairs_within(self, rows: DataFrame, k: int) -> DataFrame:

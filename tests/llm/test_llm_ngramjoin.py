@@ -139,3 +139,12 @@ def test_rows_without_ids_and_with_one_id(spark):
     rows = [(None, " ".join(base)), (None, near[0]), (7, near[1]), (7, " ".join(base)), (9, "other text here")]
     got = sorted((r.doc_id or 0, r.component_id) for r in ngramjoin.ngram_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert got == [(0, 7), (0, 7), (7, 7), (7, 7), (9, 9)]
+
+
+def test_the_least_changed_copy_weighs_most(spark):
+    """Two copies share a rare shingle beside the common ones and have the most company; the
+    text they come from has the common ones in front and is the better centre."""
+    prefixes = [(0, [100, 101, 102]), (1, [7, 100, 101]), (2, [7, 100, 101]), (3, [9, 100, 101])]
+    members = spark.createDataFrame([(node, 20, p) for node, p in prefixes], "node long, n int, prefix array<long>")
+    weights = {r.node: r.weight for r in ngramjoin.shared_prefixes(members).collect()}
+    assert max(weights, key=weights.get) == 0
