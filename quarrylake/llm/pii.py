@@ -179,10 +179,12 @@ def pattern_scores(seen: DataFrame, rounds: int) -> DataFrame:
     scores = base.select("pattern", "rank", "seeds", F.round(F.col("seeds") / (F.col("size") + 1), 9).alias("score"))
     unknown = edges.filter("rank < 0").select("pattern", "name")
     degrees = unknown.groupBy("name").agg(F.count(F.lit(1)).alias("degree"))
+    # Only kinds that have seeds in a pattern are lent anything there; the rounds read no other edges.
+    lines = stored(unknown.join(base.select("pattern", "rank"), "pattern").join(degrees, "name"), "pii-lines")
     for _ in range(rounds):
-        per_name = unknown.join(scores, "pattern").groupBy("name", "rank").agg(F.sum("score").alias("total"))
-        names = per_name.join(degrees, "name").select("name", "rank", (F.col("total") / F.col("degree")).alias("worth"))
-        lent = unknown.join(names, "name").groupBy("pattern", "rank").agg(F.sum("worth").alias("lent"))
+        scored = lines.join(scores.select("pattern", "rank", "score"), ["pattern", "rank"])
+        names = scored.groupBy("name", "rank").agg((F.sum("score") / F.max("degree")).alias("worth"))
+        lent = lines.join(names, ["name", "rank"]).groupBy("pattern", "rank").agg(F.sum("worth").alias("lent"))
         scores = stored(base.join(lent, ["pattern", "rank"], "left").select(
             "pattern", "rank", "seeds", F.round((F.col("seeds") + F.coalesce("lent", F.lit(0.0))) / (F.col("size") + 1), 9).alias("score"),
         ), "pii-scores")

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from hypothesis import given, settings
@@ -112,3 +113,49 @@ def test_the_query_counts_every_span_of_its_kind(spark, tmp_path):
 def test_thousands_of_zeros_ahead_of_an_address():
     assert pii.base_spans(f"{'0' * 5000}1.2.3.4") == [(0, 1, 5007)]
     assert pii.base_spans(f"{'0' * 5000}256.2.3.4") == []
+
+
+def plain_scores(seen, rounds):
+    sizes, seeds, unknown = {}, {}, {}
+    for pattern, name, rank in set(seen):
+        sizes.setdefault(pattern, set()).add(name)
+        if rank < 0:
+            unknown.setdefault(name, set()).add(pattern)
+        else:
+            seeds[pattern, rank] = seeds.get((pattern, rank), 0) + 1
+    scores = {(p, k): round(n / (len(sizes[p]) + 1), 9) for (p, k), n in seeds.items()}
+    for _ in range(rounds):
+        lent = dict.fromkeys(scores, 0.0)
+        for patterns in unknown.values():
+            for rank in range(len(pii.KINDS)):
+                worth = sum(scores.get((p, rank), 0.0) for p in patterns) / len(patterns)
+                for p in patterns:
+                    if (p, rank) in lent:
+                        lent[p, rank] += worth
+        scores = {(p, k): round((n + lent[p, k]) / (len(sizes[p]) + 1), 9) for (p, k), n in seeds.items()}
+    return {(p, k): (n, scores[p, k]) for (p, k), n in seeds.items()}
+
+
+def test_rounds_score_as_the_plain_version_with_few_shuffles(spark, monkeypatch):
+    """A round deals out the edges between seeded patterns and unknown identifiers, not the whole graph."""
+    draw = random.Random(4)
+    seen = [(f"p{draw.randrange(12)}", draw.randrange(40), draw.choice([-1, -1, -1, 0, 2])) for _ in range(300)]
+    seen += [(f"far{i % 5}", i % 50, -1) for i in range(60)]
+    shuffles, stored = [], pii.stored
+
+    def counted(df, label):
+        if label == "pii-scores":
+            shuffles.append(df._jdf.queryExecution().executedPlan().toString().count("hashpartitioning"))
+        return stored(df, label)
+
+    monkeypatch.setattr(pii, "stored", counted)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = pii.pattern_scores(spark.createDataFrame(seen, "pattern string, name long, rank int"), 3).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    got, want = {(r.pattern, r.rank): (r.seeds, r.score) for r in rows}, plain_scores(seen, 3)
+    assert {k: n for k, (n, _) in got.items()} == {k: n for k, (n, _) in want.items()}
+    assert all(abs(got[k][1] - want[k][1]) < 1e-8 for k in want)
+    assert len(shuffles) == 3 and max(shuffles) <= 6, shuffles
